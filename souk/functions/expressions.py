@@ -9,9 +9,9 @@ from souk.functions.labels import EARTH_RADIUS_KM
 
 MONEY = "decimal(18,2)"
 
-# Float sums depend on the order in which partitions arrive. Cutting to twelve decimals
-# first makes the rounded figure the same in every run.
-_STABLE = "decimal(38,12)"
+# Float sums depend on the order in which partitions arrive. Cutting to a few decimals more
+# than asked for makes the rounded figure the same in every run.
+_SPARE_DIGITS = 6
 
 
 def rows() -> Column:
@@ -23,7 +23,7 @@ def money(value: Column) -> Column:
 
 
 def half_up(value: Column, digits: int) -> Column:
-    return F.round(value.cast(_STABLE), digits).cast("double")
+    return F.round(value.cast(f"decimal(38,{digits + _SPARE_DIGITS})"), digits).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column, digits: int = 4) -> Column:

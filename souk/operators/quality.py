@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,30 +31,21 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns that hold NULLs, with their number. All columns share one pass."""
-    return failures_by_column(df, {c: F.col(c).isNull() for c in columns}).select(
-        F.col("check").alias("column"), F.lit(None).cast("string").alias("value"), "failures"
-    )
-
-
-def failures_by_column(df: DataFrame, failing: dict[str, Column]) -> DataFrame:
-    """(check, failures) for each named condition that holds for at least one row."""
-    return failure_counts(df, failing).where("failures > 0")
+    failing = failure_counts(df, {c: f"{c} is null" for c in columns}).where("failures > 0")
+    return failing.selectExpr("check as column", "cast(null as string) as value", "failures")
 
 
-def failure_counts(df: DataFrame, failing: dict[str, Column]) -> DataFrame:
-    """(check, failures) for each named condition, zeros included, in one pass."""
-    names = list(failing)
-    counts = df.agg(*[F.count_if(failing[name]).alias(f"c{i}") for i, name in enumerate(names)])
-    rows = [
-        F.struct(F.lit(name).alias("check"), F.col(f"c{i}").alias("failures"))
-        for i, name in enumerate(names)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+def failure_counts(df: DataFrame, failing: dict[str, str]) -> DataFrame:
+    """(check, failures) for each named SQL condition, zeros included, in one pass."""
+    counts = [f"count_if({test}) as c{i}" for i, test in enumerate(failing.values())]
+    cells = [f"struct('{name}' as check, c{i} as failures)" for i, name in enumerate(failing)]
+    return df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(cells)}))")
 
 
-def outside(column: str, values: Sequence) -> Column:
-    """True for a non-NULL value that is not in the list."""
-    return F.coalesce(~F.col(column).isin(list(values)), F.lit(False))
+def outside(column: str, values: Sequence) -> str:
+    """SQL condition for a non-NULL value that is not in the list."""
+    listed = ", ".join(str(v) if isinstance(v, int) else "'" + v + "'" for v in values)
+    return f"{column} is not null and {column} not in ({listed})"
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -91,13 +81,10 @@ def rates(metrics: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """(metric, value) for each rate column of each (name, table, columns)."""
 
     def tall(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        cells = [
-            F.struct(F.lit(f"{name}.{c}").alias("metric"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ]
-        return df.select(F.inline(F.array(*cells)))
+        cells = [f"struct('{name}.{c}' as metric, cast({c} as double) as value)" for c in columns]
+        return df.selectExpr(f"inline(array({', '.join(cells)}))")
 
-    return _union([tall(*metric) for metric in metrics])
+    return union_all([tall(*metric) for metric in metrics])
 
 
 def rates_out_of_range(metrics: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
@@ -119,7 +106,7 @@ def comparisons(
             F.lit(name).alias("mart"), "value", expected[column].alias("expected")
         )
 
-    return _union([compare(*t) for t in totals]).withColumn(
+    return union_all([compare(*t) for t in totals]).withColumn(
         "difference", (F.col("value") - F.col("expected")).cast("decimal(38,2)")
     )
 
@@ -136,5 +123,10 @@ def unreconciled(
     )
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """All rows of frames with the same columns. Pairing them up keeps the plan shallow."""
+    while len(frames) > 1:
+        pairs = zip(frames[::2], frames[1::2])
+        odd = [frames[-1]] if len(frames) % 2 else []
+        frames = [a.union(b) for a, b in pairs] + odd
+    return frames[0]

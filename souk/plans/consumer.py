@@ -130,11 +130,17 @@ def status_ranked(w: Warehouse) -> DataFrame:
 
 def top_cities(w: Warehouse) -> DataFrame:
     """The highest-revenue cities among the significant ones, with their part of all GMV."""
-    cities = w["sales_by_city"]
+    return _ranked_cities(w, w["sales_by_city"].where("is_significant"))
+
+
+def top_cities_any_size(w: Warehouse) -> DataFrame:
+    return _ranked_cities(w, w["sales_by_city"])
+
+
+def _ranked_cities(w: Warehouse, cities: DataFrame) -> DataFrame:
     gmv = delivered(w["fact_orders"]).agg(F.sum("paid_value")).scalar()
     return (
-        cities.where("is_significant")
-        .orderBy(F.desc("product_revenue"), "city", "state")
+        cities.orderBy(F.desc("product_revenue"), "city", "state")
         .limit(TOP_CITIES)
         .select(
             "city", "state", "orders", "product_revenue", "gmv",
@@ -279,6 +285,7 @@ QUESTIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
         punctuality_national,
         status_ranked,
         top_cities,
+        top_cities_any_size,
         states_by_p90,
         monthly_trend_clean,
         days_without_sales,

@@ -102,11 +102,11 @@ class Warehouse:
         return MODELS[name](self)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in SHARED:
+        if name in SHARED or name in self._tables:
             return self.table(name)
         if name not in self._models:
             self._models[name] = self.plan(name)
-        return self._tables.get(name, self._models[name])
+        return self._models[name]
 
     def table(self, name: str) -> DataFrame:
         """The model as a written table; views stay as they are."""

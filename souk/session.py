@@ -33,8 +33,11 @@ def local_session(cores: int | str = "*", app_name: str = "souk", **conf: str) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        # Recording the call site of every column expression costs more than planning it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)

@@ -222,7 +222,7 @@ class DriverTables:
                 F.explode(reviewed).alias("order_id"),
                 (1 + F.floor("value") % 5).cast("long").alias("review_score"),
                 F.lit("").alias("review_comment_title"),
-                F.lit("").alias("review_comment_message"),
+                F.col("props").alias("review_comment_message"),
                 F.col("ts").alias("review_creation_date"),
                 F.col("ts").alias("review_answer_timestamp"),
             )
