@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.functions.expressions import MONEY
-from souk.operators.numbering import heavy_keys, number_within
+from souk.operators.numbering import HOT_ROWS, heavy_keys, number_within
 from souk.sources.store import TableStore
 
 # Fixed values of the mapping
@@ -77,10 +77,13 @@ class DriverTables:
 
     LANDED = ("raw_orders", "raw_order_items", "raw_customers")
 
-    def __init__(self, spark: SparkSession, folder: str, scratch: TableStore):
+    def __init__(
+        self, spark: SparkSession, folder: str, scratch: TableStore, hot_rows: int = HOT_ROWS
+    ):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.scratch = scratch
+        self.hot_rows = hot_rows
         self._base: dict[str, DataFrame] = {}
         self._raw: dict[str, DataFrame] = {}
 
@@ -100,7 +103,7 @@ class DriverTables:
 
     @cached_property
     def hot_orders(self) -> list:
-        return heavy_keys(self.base("lineitem"), "l_orderkey")
+        return heavy_keys(self.base("lineitem"), "l_orderkey", rows=self.hot_rows)
 
     def _kept_orders(self) -> DataFrame:
         orders = self.base("orders")
