@@ -88,10 +88,13 @@ class Warehouse:
         store: TableStore,
         commission: float = labels.COMMISSION,
         payment_fee: float = labels.PAYMENT_FEE,
+        built: bool = False,
     ):
+        """With `built`, tables are read as an earlier build wrote them."""
         self.spark = spark
         self.raw = raw
         self.store = store
+        self.built = built
         self.commission = commission
         self.payment_fee = payment_fee
         self._models: dict[str, DataFrame] = {}
@@ -102,7 +105,7 @@ class Warehouse:
         return MODELS[name](self)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in SHARED or name in self._tables:
+        if name in SHARED or name in self._tables or self.built and name in TABLES:
             return self.table(name)
         if name not in self._models:
             self._models[name] = self.plan(name)
@@ -113,7 +116,9 @@ class Warehouse:
         if name in VIEWS:
             return self[name]
         if name not in self._tables:
-            self._tables[name] = self.store.replace(self.plan(name), name)
+            self._tables[name] = (
+                self.store.read(name) if self.built else self.store.replace(self.plan(name), name)
+            )
         return self._tables[name]
 
     def build(self, names: list[str] | None = None) -> None:

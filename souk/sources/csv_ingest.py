@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from souk.functions.expressions import half_up, rows
+from souk.operators.quality import union_all
 from souk.sources.raw_tables import RAW_TABLES, RawTable
 from souk.sources.store import TableStore
 
@@ -111,6 +112,10 @@ def classified(records: DataFrame, strict: bool) -> DataFrame:
     )
 
 
+def loaded_rows(landed: DataFrame) -> DataFrame:
+    return landed.where(F.col(OUTCOME) == LOADED).drop(RECORD, OUTCOME)
+
+
 def ingest(
     spark: SparkSession,
     path: str,
@@ -134,7 +139,7 @@ def ingest(
         half_up(F.try_divide(skipped * 100.0, rows()), 1).alias("skipped_pct"),
     ).select(F.lit(table.name).alias("table"), "rows_loaded", "rows_skipped", "skipped_pct")
     return Ingested(
-        clean=landed.where(F.col(OUTCOME) == LOADED).drop(RECORD, OUTCOME),
+        clean=loaded_rows(landed),
         quarantine=landed.where(F.col(OUTCOME) == SKIPPED).select(
             F.lit(table.name).alias("table"), F.col(RECORD).alias("record")
         ),
@@ -142,7 +147,25 @@ def ingest(
     )
 
 
-class CsvTables(Mapping):
+class _RawTables(Mapping):
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW_TABLES)
+
+    def __len__(self) -> int:
+        return len(RAW_TABLES)
+
+
+class LoadedTables(_RawTables):
+    """The raw tables as an earlier load left them in the store."""
+
+    def __init__(self, store: TableStore):
+        self.store = store
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return loaded_rows(self.store.read(RAW_TABLES[name].name))
+
+
+class CsvTables(_RawTables):
     """The raw tables from `<folder>/<table>.csv` files or folders, loaded on first use."""
 
     def __init__(self, spark: SparkSession, folder: str, store: TableStore):
@@ -160,15 +183,6 @@ class CsvTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         return self.ingested(name).clean
 
-    def __iter__(self) -> Iterator[str]:
-        return iter(RAW_TABLES)
-
-    def __len__(self) -> int:
-        return len(RAW_TABLES)
-
     def stats(self) -> DataFrame:
         """Rows loaded and skipped, one row per table."""
-        first, *rest = [self.ingested(name).stats for name in self]
-        for more in rest:
-            first = first.unionByName(more)
-        return first
+        return union_all([self.ingested(name).stats for name in self])

@@ -18,7 +18,11 @@ def spark(tmp_path_factory):
     session = local_session(
         "8",
         "tests",
-        **{"spark.checkpoint.dir": str(folder), "spark.sql.shuffle.partitions": "4"},
+        **{
+            "spark.checkpoint.dir": str(folder),
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "5000",
+        },
     )
     yield session
     session.stop()
