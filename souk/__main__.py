@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from souk.functions import labels
 from souk.plans import quality_suite
 from souk.plans.warehouse import MODELS, Warehouse
-from souk.session import configure
+from souk.session import configure, fit_to_input
 from souk.sources.csv_ingest import CsvTables, LoadedTables
 from souk.sources.store import TableStore
 
@@ -45,6 +45,7 @@ def main(argv: list[str], spark: SparkSession) -> int:
     args = arguments(argv)
     configure(spark)
     store = TableStore(spark, args.store)
+    fit_to_input(spark, args.csv if args.job == "load" else args.store)
     if args.job == "load":
         CsvTables(spark, args.csv, store).stats().show(truncate=False)
         return 0

@@ -20,6 +20,14 @@ SETTINGS = {
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+MB = 1024 * 1024
+# Input one shuffle partition should stand for, and the most partitions a shuffle may have
+SHUFFLE_BYTES = 128 * MB
+MOST_SHUFFLE_PARTITIONS = 20_000
+# Scan tasks to stay below by reading more per task, within bounds
+SCAN_TASKS = 100_000
+SCAN_BYTES = (128 * MB, 512 * MB)
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -27,6 +35,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Total size of the files below a folder, from their listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.selectExpr("coalesce(sum(length), 0) as size").first()["size"]
+
+
+def partition_sizes(size: int, partitions: int) -> dict[str, str]:
+    """Settings for an input of this many bytes, given the session's shuffle partitions.
+
+    AQE merges shuffle partitions that turn out small but splits none that turn out large
+    (skewed joins aside), so a shuffle starts with many.
+    """
+    wanted = min(-(-size // SHUFFLE_BYTES), MOST_SHUFFLE_PARTITIONS)
+    low, high = SCAN_BYTES
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(wanted, partitions)),
+        "spark.sql.files.maxPartitionBytes": str(min(max(size // SCAN_TASKS, low), high)),
+    }
+
+
+def fit_to_input(spark: SparkSession, folder: str) -> None:
+    """Size shuffles and scans for the data in a folder."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for key, value in partition_sizes(input_bytes(spark, folder), partitions).items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", app_name: str = "souk", **conf: str) -> SparkSession:
     """A session on this machine, for tests and the benchmark."""
     builder = (

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from souk.__main__ import main
-from souk.session import CHECKPOINT_DIR, shared_folder
+from souk.session import CHECKPOINT_DIR, MB, input_bytes, partition_sizes, shared_folder
 from souk.sources import csv_files
 from souk.sources.store import TableStore
 
@@ -65,3 +65,20 @@ class Cluster:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match=CHECKPOINT_DIR):
         shared_folder(Cluster)
+
+
+def test_partitions_follow_the_input(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x" * 1000)
+    (tmp_path / "deeper").mkdir()
+    (tmp_path / "deeper" / "b").write_bytes(b"x" * 500)
+    assert input_bytes(spark, str(tmp_path)) == 1500
+
+    shuffle, scan = (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.files.maxPartitionBytes",
+    )
+    small = partition_sizes(1500, 8)
+    assert (small[shuffle], small[scan]) == ("8", str(128 * MB))
+    assert partition_sizes(1024**4, 200)[shuffle] == "8192"
+    huge = partition_sizes(100 * 1024**4, 200)
+    assert (huge[shuffle], huge[scan]) == ("20000", str(512 * MB))
