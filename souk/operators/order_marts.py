@@ -237,9 +237,9 @@ def with_take_rate(months: DataFrame, commission: Column, payment_fee: Column) -
     cost = F.col("gmv") * payment_fee
     return months.withColumns(
         {
-            "commission_income": F.round(income, 2),
-            "processing_cost": F.round(cost, 2),
-            "platform_margin": F.round(income - cost, 2),
+            "commission_income": F.round(income, 2).cast("decimal(28,2)"),
+            "processing_cost": F.round(cost, 2).cast("decimal(28,2)"),
+            "platform_margin": F.round(income - cost, 2).cast("decimal(28,2)"),
             "effective_rate": ratio(income - cost, F.col("gmv")),
         }
     )
