@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from souk.functions.labels import EARTH_RADIUS_KM
 
 MONEY = "decimal(18,2)"
+# Sums of money: a hot group of a very large table goes beyond 16 digits.
+MONEY_SUM = "decimal(28,2)"
 
 # Float sums depend on the order in which partitions arrive. Cutting to a few decimals more
 # than asked for makes the rounded figure the same in every run.
@@ -22,6 +24,10 @@ def money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
+def money_sum(value: Column) -> Column:
+    return value.cast(MONEY_SUM)
+
+
 def half_up(value: Column, digits: int) -> Column:
     return F.round(value.cast(f"decimal(38,{digits + _SPARE_DIGITS})"), digits).cast("double")
 

@@ -1,8 +1,7 @@
 """Row numbers and running totals that survive a hot group.
 
-A window sorts each group in one task. That is fine for groups of ordinary size, and wrong
-for one that holds a third of all rows. The functions here keep the exact numbering and
-never put such a group into a single task.
+A window sorts each group in one task, which is wrong for a group that holds a third of all
+rows. The functions here keep the exact numbering and never put a group into a single task.
 """
 
 from __future__ import annotations
@@ -13,63 +12,22 @@ from pyspark.sql import functions as F
 from souk.functions.expressions import rows as row_count
 from souk.sources.store import TableStore
 
-# A key is hot when it holds at least this share of the rows and this many of them.
-HOT_SHARE = 0.001
-HOT_ROWS = 1_000_000
-
-# The sketch misses no key above about 3.5 / 10000 of the rows, well below HOT_SHARE.
-_SKETCH_ITEMS = 10_000
-_MOST_HOT_KEYS = 1_000
-
 # monotonically_increasing_id() keeps the partition number above these bits.
 _POSITION_BITS = 33
 
 
-def heavy_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS
-) -> list:
-    """Keys that hold at least `share` of the rows, and at least `rows` of them.
-
-    One scan of the key column into a frequent-items sketch; nothing is shuffled by key. At
-    most 1 / share keys can qualify, so the list has a fixed bound. The counts are estimates:
-    use the list to choose a way of execution, not to decide results.
-    """
-    top = df.agg(
-        row_count().alias("total"),
-        F.expr(f"approx_top_k({key}, {_MOST_HOT_KEYS}, {_SKETCH_ITEMS})").alias("top"),
-    ).first()
-    floor = max(top["total"] * share, rows)
-    return [entry["item"] for entry in top["top"] if entry["count"] >= floor and entry["item"] is not None]
-
-
 def number_within(
-    df: DataFrame,
-    group: str,
-    order: list[str],
-    alias: str,
-    hot: list,
-    scratch: TableStore,
-    table: str,
+    df: DataFrame, group: str, order: list[str], alias: str, scratch: TableStore, table: str
 ) -> DataFrame:
     """`row_number()` per group in the given order, as a long column `alias`.
 
-    Rows of the hot groups are range-partitioned by group and order, so many tasks share a
-    group; each row's number is its position in its partition plus the rows of the group in
-    earlier partitions. The sorted rows are written once, because positions must not change
-    between the two passes. Every other group takes the plain window.
+    Rows are range-partitioned by group and order, so tasks share a large group and a task has
+    many small ones; each row's number is its position in its partition plus the rows of the
+    group in earlier partitions. The sorted rows are written once, because positions must not
+    change between the two passes.
     """
-    plain = Window.partitionBy(group).orderBy(*order)
-    numbered = df.withColumn(alias, F.row_number().over(plain).cast("long"))
-    if not hot:
-        return numbered
-
-    is_hot = F.coalesce(F.col(group).isin(hot), F.lit(False))
-    cold = df.where(~is_hot).withColumn(alias, F.row_number().over(plain).cast("long"))
-
-    width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
     ranged = (
-        df.where(is_hot)
-        .repartitionByRange(width, group, *order)
+        df.repartitionByRange(group, *order)
         .sortWithinPartitions(group, *order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
@@ -82,19 +40,16 @@ def number_within(
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # At most one row per range partition and hot key: small whatever the data size.
+    # A group has a row for each partition that it is in.
     offsets = (
         ranged.groupBy(group, "_part")
         .agg(row_count().alias("_rows"), F.min("_position").alias("_first"))
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first"))
-        .select(group, "_part", "_offset")
+        .select(F.col(group).alias("_group"), F.col("_part").alias("_in"), "_offset")
     )
-    warm = (
-        ranged.join(F.broadcast(offsets), [group, "_part"])
-        .withColumn(alias, F.col("_position") + F.col("_offset"))
-        .select(*cold.columns)
-    )
-    return cold.unionByName(warm)
+    same = (F.col("_part") == F.col("_in")) & F.col(group).eqNullSafe(F.col("_group"))
+    number = (F.col("_position") + F.col("_offset")).alias(alias)
+    return ranged.join(offsets, same).select(*df.columns, number)
 
 
 def running_count(
@@ -128,7 +83,7 @@ def running_count(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        banded.join(F.broadcast(bands), [partition, "_band"])
+        banded.join(bands, [partition, "_band"])
         .withColumn(alias, F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
         .drop("_band", "_start")
     )
@@ -138,8 +93,12 @@ _BANDS_PER_OCTAVE = 128
 
 
 def _log_band(value: Column) -> Column:
-    """Whole number that never falls when the value rises; one band for values up to zero."""
-    octave = F.log2(value.cast("double"))
-    return F.when(value > 0, F.floor(octave * _BANDS_PER_OCTAVE)).otherwise(
-        F.lit(-(2**20)).cast("long")
+    """Whole number that never falls when the value rises; bands by magnitude on both sides."""
+    octave = F.log2(F.abs(value.cast("double")))
+    band = F.floor(octave * _BANDS_PER_OCTAVE)
+    # Offsets beyond any logarithm of a double keep negative values, zero and others apart.
+    return (
+        F.when(value > 0, band)
+        .when(value < 0, F.lit(-(2**20)).cast("long") - band)
+        .otherwise(F.lit(-(2**19)).cast("long"))
     )

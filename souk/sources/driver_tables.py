@@ -1,19 +1,18 @@
 """The nine raw tables, derived from order-processing tables in Parquet.
 
-Each function states one raw table as a projection or join of the given tables. The gaps and
-oddities a real marketplace shows (a month without orders, unpaid orders, several reviews of
-one order, buyers without coordinates) follow from fixed arithmetic on the keys.
+Each function states one raw table as a projection or join of the given tables, and keeps
+every row of them. The gaps and oddities a real marketplace shows (a month without orders,
+unpaid orders, several reviews of one order, buyers without coordinates) come from moving rows
+by fixed arithmetic on the keys: to the next month, to another order, to another prefix.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.functions.expressions import MONEY
-from souk.operators.numbering import HOT_ROWS, heavy_keys, number_within
+from souk.operators.numbering import number_within
 from souk.sources.store import TableStore
 
 # Fixed values of the mapping
@@ -32,6 +31,8 @@ PENDING_STATUSES = [
 SELLERS_PER_SUPPLIER = 20
 UNTRANSLATED_BRAND = "Brand#7"
 UNLOCATED_NATION = 24
+PAID_ELSEWHERE_EVERY = 499
+UNKNOWN_ORDER_EVERY = 5 * PAID_ELSEWHERE_EVERY
 ITEM_ORDER = [
     "l_linenumber",
     "l_partkey",
@@ -58,14 +59,16 @@ def _days(n: Column) -> Column:
     return F.make_dt_interval(days=n.cast("int"))
 
 
-def _kept(date: Column, key: Column) -> Column:
-    gap = (date >= F.lit(GAP_MONTH[0]).cast("timestamp_ntz")) & (
-        date < F.lit(GAP_MONTH[1]).cast("timestamp_ntz")
-    )
-    pilot = (date >= F.lit(PILOT_MONTH[0]).cast("timestamp_ntz")) & (
-        date < F.lit(PILOT_MONTH[1]).cast("timestamp_ntz")
-    )
-    return ~gap & (~pilot | (key % PILOT_KEEPS_EVERY == 0))
+def _order_day() -> Column:
+    """The order's day; orders of the gap month, and most of the pilot month, a month later."""
+    day, key = F.col("o_orderdate"), F.col("o_orderkey")
+
+    def within(month: tuple[str, str]) -> Column:
+        first, after = (F.lit(x).cast("timestamp_ntz") for x in month)
+        return (day >= first) & (day < after)
+
+    later = within(GAP_MONTH) | (within(PILOT_MONTH) & (key % PILOT_KEEPS_EVERY != 0))
+    return F.when(later, day + F.make_ym_interval(months=F.lit(1))).otherwise(day)
 
 
 class DriverTables:
@@ -77,13 +80,10 @@ class DriverTables:
 
     LANDED = ("raw_orders", "raw_order_items", "raw_customers")
 
-    def __init__(
-        self, spark: SparkSession, folder: str, scratch: TableStore, hot_rows: int = HOT_ROWS
-    ):
+    def __init__(self, spark: SparkSession, folder: str, scratch: TableStore):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.scratch = scratch
-        self.hot_rows = hot_rows
         self._base: dict[str, DataFrame] = {}
         self._raw: dict[str, DataFrame] = {}
 
@@ -101,14 +101,6 @@ class DriverTables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.raw(name)
 
-    @cached_property
-    def hot_orders(self) -> list:
-        return heavy_keys(self.base("lineitem"), "l_orderkey", rows=self.hot_rows)
-
-    def _kept_orders(self) -> DataFrame:
-        orders = self.base("orders")
-        return orders.where(_kept(F.col("o_orderdate"), F.col("o_orderkey")))
-
     def raw_orders(self) -> DataFrame:
         with_items = self.base("lineitem").select(F.col("l_orderkey").alias("item_order")).distinct()
         key = F.col("o_orderkey")
@@ -120,7 +112,7 @@ class DriverTables:
             .when(F.col("o_orderstatus").isin("F", "O"), "delivered")
             .otherwise(pending)
         )
-        day = F.col("o_orderdate")
+        day = _order_day()
         bought = key * 37 % 1440
         dispatched = key * 31 % 240
         no_dispatch = F.col("order_status").isin(
@@ -128,7 +120,7 @@ class DriverTables:
         )
         arrived = (F.col("order_status") == "delivered") & (key % 211 != 0)
         return (
-            self._kept_orders()
+            self.base("orders")
             .join(with_items, F.col("o_orderkey") == F.col("item_order"), "left")
             .withColumn("order_status", status)
             .select(
@@ -164,13 +156,8 @@ class DriverTables:
         )
 
     def raw_order_items(self) -> DataFrame:
-        lines = self.base("lineitem").join(
-            self._kept_orders().select("o_orderkey"),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-            "left_semi",
-        )
         numbered = number_within(
-            lines, "l_orderkey", ITEM_ORDER, "item_no", self.hot_orders, self.scratch, "hot_order_lines"
+            self.base("lineitem"), "l_orderkey", ITEM_ORDER, "item_no", self.scratch, "ordered_lines"
         )
         return numbered.select(
             F.col("l_orderkey").alias("order_id"),
@@ -186,11 +173,19 @@ class DriverTables:
     def raw_payments(self) -> DataFrame:
         key = F.col("o_orderkey")
         kind = key % 4
+        # Some orders are paid with another one, and some payments name no order there is.
+        elsewhere = key % PAID_ELSEWHERE_EVERY == 0
+        paid_order = (
+            F.when(key % UNKNOWN_ORDER_EVERY == 0, -1 - key)
+            .when(elsewhere, key - 1)
+            .otherwise(key)
+        )
+        first = F.when(elsewhere, F.lit(3)).otherwise(F.lit(1)).cast("long")
         method = (
             F.when(kind == 0, "boleto").when(kind == 1, "debit_card").otherwise("credit_card")
         )
         main = F.struct(
-            F.lit(1).cast("long").alias("payment_sequential"),
+            first.alias("payment_sequential"),
             method.alias("payment_type"),
             F.when(kind >= 2, key % 10 + 1).otherwise(F.lit(1).cast("long")).alias(
                 "payment_installments"
@@ -198,20 +193,18 @@ class DriverTables:
             F.col("o_totalprice").cast(MONEY).alias("payment_value"),
         )
         extra = F.struct(
-            F.lit(2).cast("long").alias("payment_sequential"),
+            (first + 1).alias("payment_sequential"),
             F.lit("voucher").alias("payment_type"),
             F.lit(1).cast("long").alias("payment_installments"),
             F.lit("25.50").cast(MONEY).alias("payment_value"),
         )
         payments = F.when(key % 45 == 0, F.array(main, extra)).otherwise(F.array(main))
-        return (
-            self.base("orders")
-            .where(key % 499 != 0)
-            .select(key.alias("order_id"), F.inline(payments))
-        )
+        return self.base("orders").select(paid_order.alias("order_id"), F.inline(payments))
 
     def raw_reviews(self) -> DataFrame:
-        order_range = self.base("orders").agg(F.max("o_orderkey") + 1).scalar()
+        # The range goes beyond the last order, so that some reviews name no order there is.
+        last = F.max("o_orderkey")
+        order_range = self.base("orders").agg(last + 1 + F.floor(last / 50)).scalar()
         first = F.col("event_id") * 7919
         reviewed = F.when(
             F.col("event_type") == "error",
@@ -244,13 +237,13 @@ class DriverTables:
         )
 
     def raw_category_translation(self) -> DataFrame:
-        brand = F.col("p_brand")
+        brand = F.col("product_category_name")
+        english = F.when(brand != UNTRANSLATED_BRAND, F.lower(brand))
         return (
             self.base("part")
-            .where(brand != UNTRANSLATED_BRAND)
-            .select(brand.alias("product_category_name"))
+            .select(F.col("p_brand").alias("product_category_name"))
             .distinct()
-            .withColumn("product_category_name_english", F.lower("product_category_name"))
+            .withColumn("product_category_name_english", english)
         )
 
     def raw_sellers(self) -> DataFrame:
@@ -275,8 +268,10 @@ class DriverTables:
             ).cast("decimal(4,3)")
             return exact.cast("double")
 
-        return self.base("customer").where(nation != UNLOCATED_NATION).select(
-            (nation * 100 + cust % 10).alias("geolocation_zip_code_prefix"),
+        # Prefixes of this nation's coordinates are those of no buyer or seller.
+        elsewhere = F.when(nation == UNLOCATED_NATION, 50).otherwise(0)
+        return self.base("customer").select(
+            (nation * 100 + cust % 10 + elsewhere).alias("geolocation_zip_code_prefix"),
             degrees(-30, "0.9", nation, cust % 100).alias("geolocation_lat"),
             degrees(-60, "0.6", nation * 7 % 25, cust % 90).alias("geolocation_lng"),
         )

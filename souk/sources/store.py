@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.session import shared_folder
+from souk.session import delete_at_end, shared_folder
 
 
 class TableStore:
@@ -19,9 +19,10 @@ class TableStore:
 
     @classmethod
     def scratch(cls, spark: SparkSession, name: str) -> "TableStore":
-        """A store of this application's own below the cluster's shared folder."""
-        application = spark.sparkContext.applicationId
-        return cls(spark, f"{shared_folder(spark)}/souk/{application}/{name}")
+        """A store of this application's own below the cluster's shared folder, gone at its end."""
+        root = f"{shared_folder(spark)}/souk/{spark.sparkContext.applicationId}"
+        delete_at_end(spark, root)
+        return cls(spark, f"{root}/{name}")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"

@@ -43,10 +43,11 @@ PUNCTUALITY = """case when days_vs_promise < 0 then 'early'
 
 MODELS: dict[str, str] = {}
 
-MODELS["kept_orders"] = """
-select * from orders
-where strftime(o_orderdate, '%Y-%m') <> '1996-05'
-  and (strftime(o_orderdate, '%Y-%m') <> '1995-01' or o_orderkey % 40 = 0)
+MODELS["order_days"] = """
+select * replace (o_orderdate + to_months(
+  case strftime(o_orderdate, '%Y-%m') when '1996-05' then 1
+    when '1995-01' then cast(o_orderkey % 40 <> 0 as int) else 0 end) as o_orderdate)
+from orders
 """
 
 MODELS["ordered_lines"] = "select distinct l_orderkey as line_order from lineitem"
@@ -57,7 +58,7 @@ select o_orderkey as k, o_orderdate as day0,
        when o_orderstatus in ('F', 'O') then 'delivered'
        else ['shipped', 'canceled', 'unavailable', 'invoiced', 'processing', 'created',
              'approved'][cast(o_orderkey % 7 as int) + 1] end as order_status
-from kept_orders left join ordered_lines on line_order = o_orderkey
+from order_days left join ordered_lines on line_order = o_orderkey
 """
 
 MODELS["stg_orders"] = """
@@ -88,20 +89,18 @@ select l_orderkey as order_id,
   l_partkey as product_id, l_suppkey * 20 + l_partkey % 20 as seller_id,
   cast(l_extendedprice as decimal(18,2)) as price,
   cast(l_quantity * 1.25 as decimal(18,2)) as freight
-from lineitem where l_orderkey in (select o_orderkey from kept_orders)
+from lineitem
 """
 
 MODELS["stg_payments"] = """
-select o_orderkey as order_id, cast(1 as bigint) as payment_seq,
-  case o_orderkey % 4 when 0 then 'boleto' when 1 then 'debit_card' else 'credit_card' end
-    as payment_type,
-  cast(case when o_orderkey % 4 in (2, 3) then 1 + o_orderkey % 10 else 1 end as bigint)
-    as installments,
-  cast(o_totalprice as decimal(18,2)) as payment_value
-from orders where o_orderkey % 499 <> 0
-union all
-select o_orderkey, 2, 'voucher', 1, cast(25.50 as decimal(18,2))
-from orders where o_orderkey % 499 <> 0 and o_orderkey % 45 = 0
+select case when k % 2495 = 0 then -1 - k when k % 499 = 0 then k - 1 else k end as order_id,
+  cast(nth + case when k % 499 = 0 then 2 else 0 end as bigint) as payment_seq,
+  case when nth = 2 then 'voucher' when k % 4 = 0 then 'boleto' when k % 4 = 1 then 'debit_card'
+    else 'credit_card' end as payment_type,
+  cast(case when nth = 1 and k % 4 > 1 then 1 + k % 10 else 1 end as bigint) as installments,
+  cast(case nth when 1 then total else 25.50 end as decimal(18,2)) as payment_value
+from (select o_orderkey as k, o_totalprice as total,
+        unnest(case when o_orderkey % 45 = 0 then [1, 2] else [1] end) as nth from orders)
 """
 
 MODELS["stg_reviews"] = """
@@ -109,7 +108,7 @@ select event_id as review_id, (event_id * 7919 + shift) % n as order_id,
   cast(1 + cast(floor(value) as bigint) % 5 as bigint) as score,
   '' as title, props as message, ts as created_at, ts as answered_at
 from events
-cross join (select max(o_orderkey) + 1 as n from orders)
+cross join (select max(o_orderkey) + 1 + max(o_orderkey) // 50 as n from orders)
 cross join (values (0), (1)) as shifts(shift)
 where shift = 0 or event_type = 'error'
 """
@@ -120,8 +119,8 @@ select p_partkey as product_id, category_src, translation.category_en,
   5 + p_partkey % 40 as length_cm, 3 + p_partkey % 23 as height_cm,
   case when p_partkey % 71 <> 0 then 4 + p_partkey % 31 end as width_cm
 from (select *, case when p_partkey % 61 <> 0 then p_brand end as category_src from part)
-left join (select distinct p_brand, lower(p_brand) as category_en from part
-           where p_brand <> 'Brand#7') as translation on translation.p_brand = category_src
+left join (select distinct p_brand, case when p_brand <> 'Brand#7' then lower(p_brand) end
+             as category_en from part) as translation on translation.p_brand = category_src
 """
 
 MODELS["stg_sellers"] = """
@@ -132,10 +131,11 @@ from supplier join nation on n_nationkey = s_nationkey cross join range(20) as s
 """
 
 MODELS["located_customers"] = """
-select cast(c_nationkey * 100 + c_custkey % 10 as bigint) as zip_prefix,
+select cast(c_nationkey * 100 + c_custkey % 10
+    + case c_nationkey when 24 then 50 else 0 end as bigint) as zip_prefix,
   cast(-30 + 0.9 * c_nationkey + 0.001 * (c_custkey % 100) as decimal(18,3)) as lat,
   cast(-60 + 0.6 * (c_nationkey * 7 % 25) + 0.001 * (c_custkey % 90) as decimal(18,3)) as lng
-from customer where c_nationkey <> 24
+from customer
 """
 
 MODELS["stg_geolocation"] = """

@@ -336,8 +336,7 @@ def _load_stats() -> str:
         for table, model in whole
     ]
     parts.append(
-        """select 'raw_category_translation', count(distinct p_brand), 0 from part
-        where p_brand <> 'Brand#7'"""
+        """select 'raw_category_translation', count(distinct p_brand), 0 from part"""
     )
     parts.append(
         f"""select 'raw_order_items', count(*) filter (where {_SPOT} <> 0),
