@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Run-time settings, safe to apply to a session somebody else created.
@@ -21,12 +19,9 @@ SETTINGS = {
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 MB = 1024 * 1024
-# Input one shuffle partition should stand for, and the most partitions a shuffle may have
+# Input one shuffle partition should stand for, and one scan task
 SHUFFLE_BYTES = 128 * MB
-MOST_SHUFFLE_PARTITIONS = 20_000
-# Scan tasks to stay below by reading more per task, within bounds
-SCAN_TASKS = 100_000
-SCAN_BYTES = (128 * MB, 512 * MB)
+SCAN_BYTES = 128 * MB
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -47,11 +42,10 @@ def partition_sizes(size: int, partitions: int) -> dict[str, str]:
     AQE merges shuffle partitions that turn out small but splits none that turn out large
     (skewed joins aside), so a shuffle starts with many.
     """
-    wanted = min(-(-size // SHUFFLE_BYTES), MOST_SHUFFLE_PARTITIONS)
-    low, high = SCAN_BYTES
+    wanted = -(-size // SHUFFLE_BYTES)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(wanted, partitions)),
-        "spark.sql.files.maxPartitionBytes": str(min(max(size // SCAN_TASKS, low), high)),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
     }
 
 
@@ -82,15 +76,12 @@ def local_session(cores: int | str = "*", app_name: str = "souk", **conf: str) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    A run on one machine may fall back to a temporary folder; a cluster may not.
-    """
+    """The folder every executor can reach, as the cluster names it; else one in the warehouse."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="souk-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Has the path deleted when the application ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from souk.__main__ import main
-from souk.session import CHECKPOINT_DIR, MB, input_bytes, partition_sizes, shared_folder
+from souk.session import MB, input_bytes, partition_sizes, shared_folder
 from souk.sources import csv_files
 from souk.sources.store import TableStore
 
@@ -50,21 +50,17 @@ def test_written_folders_come_from_the_session(spark):
     assert TableStore.scratch(spark, "x").root.startswith(folder)
 
 
-class Cluster:
-    """Stands in for a session on a cluster that names no shared folder."""
-
-    class sparkContext:
-        master = "yarn"
+class Session:
+    """Settings of a session that names no shared folder."""
 
     class conf:
         @staticmethod
-        def get(key, default):
-            return default
+        def get(key, default=None):
+            return {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}.get(key, default)
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(ValueError, match=CHECKPOINT_DIR):
-        shared_folder(Cluster)
+def test_without_a_shared_folder_the_warehouse_holds_written_tables():
+    assert shared_folder(Session) == "hdfs://shared/warehouse/_scratch"
 
 
 def test_partitions_follow_the_input(spark, tmp_path):
@@ -81,4 +77,4 @@ def test_partitions_follow_the_input(spark, tmp_path):
     assert (small[shuffle], small[scan]) == ("8", str(128 * MB))
     assert partition_sizes(1024**4, 200)[shuffle] == "8192"
     huge = partition_sizes(100 * 1024**4, 200)
-    assert (huge[shuffle], huge[scan]) == ("20000", str(512 * MB))
+    assert (huge[shuffle], huge[scan]) == (str(100 * 8192), str(128 * MB))
