@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions import labels
-from souk.functions.expressions import bucketed, money, month_start, ratio, rows, strict_greatest
+from souk.functions.expressions import bucketed, money_sum, month_start, ratio, rows, strict_greatest
 
 
 def dim_customers(order_base: DataFrame, orders: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def dim_customers(order_base: DataFrame, orders: DataFrame) -> DataFrame:
     people = paid.groupBy("customer_uid").agg(
         latest.alias("place"),
         rows().alias("order_count"),
-        money(F.sum("order_paid_total")).alias("paid_total"),
+        money_sum(F.sum("order_paid_total")).alias("paid_total"),
         ratio(F.sum("order_paid_total"), F.count("order_paid_total"), 2).alias("avg_paid_ticket"),
         F.min("purchase_date").alias("first_purchase"),
         F.max("purchase_date").alias("last_purchase"),

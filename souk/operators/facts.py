@@ -9,7 +9,7 @@ from souk.functions import labels
 from souk.functions.expressions import (
     distance_km,
     leg_days,
-    money,
+    money_sum,
     month_offset,
     month_start,
     ratio,
@@ -64,8 +64,8 @@ def items_per_order(items: DataFrame) -> DataFrame:
     return per_seller.groupBy("order_id").agg(
         F.sum("lines").alias("item_count"),
         F.count("seller_id").alias("seller_count"),
-        money(F.sum("price")).alias("product_revenue"),
-        money(F.sum("freight")).alias("freight"),
+        money_sum(F.sum("price")).alias("product_revenue"),
+        money_sum(F.sum("freight")).alias("freight"),
     )
 
 
@@ -113,7 +113,7 @@ def order_base(
             "purchase_month": month_start(purchase_date),
             "has_payment": F.coalesce("has_payment", F.lit(False)),
             "paid_value": F.coalesce(
-                "order_paid_total", money(F.col("product_revenue") + F.col("freight"))
+                "order_paid_total", money_sum(F.col("product_revenue") + F.col("freight"))
             ),
             "paid_imputed": F.col("order_paid_total").isNull() & F.col("product_revenue").isNotNull(),
             "approval_days": leg_days(F.col("purchased_at"), F.col("approved_at")),

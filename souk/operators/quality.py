@@ -11,50 +11,60 @@ from souk.functions.expressions import rows
 from souk.functions.labels import RECONCILIATION_TOLERANCE
 
 
-def unique(df: DataFrame, column: str) -> DataFrame:
+def unique(df: DataFrame, name: str) -> DataFrame:
     """Non-NULL values that occur more than once."""
     return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+        df.where(column(name).isNotNull())
+        .groupBy(column(name).alias("value"))
         .agg(rows().alias("failures"))
         .where("failures > 1")
-        .select(F.lit(column).alias("column"), F.col("value").cast("string"), "failures")
+        .select(F.lit(name).alias("column"), F.col("value").cast("string"), "failures")
     )
 
 
 def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Key tuples that occur more than once; NULLs count as equal."""
     return (
-        df.groupBy(*columns).agg(rows().alias("failures")).where("failures > 1")
+        df.groupBy(*[column(c) for c in columns]).agg(rows().alias("failures")).where("failures > 1")
     )
 
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns that hold NULLs, with their number. All columns share one pass."""
-    failing = failure_counts(df, {c: f"{c} is null" for c in columns}).where("failures > 0")
-    return failing.selectExpr("check as column", "cast(null as string) as value", "failures")
+    tests = {("not_null", c): column(c).isNull() for c in columns}
+    failing = failure_counts(df, tests).where("failures > 0")
+    return failing.select("column", F.lit(None).cast("string").alias("value"), "failures")
 
 
-def failure_counts(df: DataFrame, failing: dict[str, str]) -> DataFrame:
-    """(check, failures) for each named SQL condition, zeros included, in one pass."""
-    counts = [f"count_if({test}) as c{i}" for i, test in enumerate(failing.values())]
-    cells = [f"struct('{name}' as check, c{i} as failures)" for i, name in enumerate(failing)]
-    return df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(cells)}))")
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
-def outside(column: str, values: Sequence) -> str:
-    """SQL condition for a non-NULL value that is not in the list."""
-    listed = ", ".join(str(v) if isinstance(v, int) else "'" + v + "'" for v in values)
-    return f"{column} is not null and {column} not in ({listed})"
+def failure_counts(df: DataFrame, failing: dict[tuple[str, str], Column]) -> DataFrame:
+    """(check, column, failures) for each condition, zeros included, in one pass."""
+    counts = [F.count_if(test).alias(f"c{i}") for i, test in enumerate(failing.values())]
+    cells = [
+        F.struct(
+            F.lit(check).alias("check"), F.lit(name).alias("column"), F.col(f"c{i}").alias("failures")
+        )
+        for i, (check, name) in enumerate(failing)
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*cells)))
+
+
+def outside(name: str, values: Sequence) -> Column:
+    """Whether a non-NULL value is not in the list."""
+    return column(name).isNotNull() & ~column(name).isin(list(values))
 
 
-def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+def accepted_values(df: DataFrame, name: str, values: Sequence) -> DataFrame:
     """Non-NULL values outside the list."""
     return (
-        df.where(outside(column, values))
-        .groupBy(F.col(column).alias("value"))
+        df.where(outside(name, values))
+        .groupBy(column(name).alias("value"))
         .agg(rows().alias("failures"))
-        .select(F.lit(column).alias("column"), F.col("value").cast("string"), "failures")
+        .select(F.lit(name).alias("column"), F.col("value").cast("string"), "failures")
     )
 
 
@@ -65,11 +75,11 @@ def relationships(child: DataFrame, key: str, parent: DataFrame, parent_key: str
     more than any other.
     """
     keys = (
-        child.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("value"))
+        child.where(column(key).isNotNull())
+        .groupBy(column(key).alias("value"))
         .agg(rows().alias("failures"))
     )
-    parents = parent.select(F.col(parent_key).alias("parent_value"))
+    parents = parent.select(column(parent_key).alias("parent_value"))
     return keys.join(parents, F.col("value") == F.col("parent_value"), "left_anti")
 
 
@@ -81,8 +91,13 @@ def rates(metrics: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """(metric, value) for each rate column of each (name, table, columns)."""
 
     def tall(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        cells = [f"struct('{name}.{c}' as metric, cast({c} as double) as value)" for c in columns]
-        return df.selectExpr(f"inline(array({', '.join(cells)}))")
+        cells = [
+            F.struct(
+                F.lit(f"{name}.{c}").alias("metric"), column(c).cast("double").alias("value")
+            )
+            for c in columns
+        ]
+        return df.select(F.inline(F.array(*cells)))
 
     return union_all([tall(*metric) for metric in metrics])
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souk.functions.expressions import money
+from souk.functions.expressions import money, money_sum
 
 # Enough digits for any latitude or longitude a double can tell apart.
 _DEGREES = "decimal(20,15)"
@@ -122,6 +122,6 @@ def stg_geolocation(raw_geolocation: DataFrame) -> DataFrame:
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(
-        money(F.sum("payment_value")).alias("order_paid_total"),
+        money_sum(F.sum("payment_value")).alias("order_paid_total"),
         F.max("installments").alias("max_installments"),
     )

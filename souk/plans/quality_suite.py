@@ -295,8 +295,11 @@ def one_row(w: Warehouse) -> DataFrame:
 
 
 def _report(check: str, model: str, columns: str, failures: DataFrame) -> DataFrame:
-    return failures.selectExpr(
-        f"'{check}' as check", f"'{model}' as model", f"'{columns}' as columns", "failures"
+    return failures.select(
+        F.lit(check).alias("check"),
+        F.lit(model).alias("model"),
+        F.lit(columns).alias("columns"),
+        "failures",
     )
 
 
@@ -311,21 +314,15 @@ def model_report(w: Warehouse, model: str) -> list[DataFrame]:
     that repeat, and rows whose key has no parent. The first two kinds share one pass.
     """
     df, checks = w[model], DECLARED[model]
-    by_row = [("not_null", c, f"{c} is null") for c in checks.not_null]
-    by_row += [
-        ("accepted_values", c, quality.outside(c, values)) for c, values in checks.accepted.items()
-    ]
+    by_row = {("not_null", c): quality.column(c).isNull() for c in checks.not_null}
+    by_row |= {
+        ("accepted_values", c): quality.outside(c, values) for c, values in checks.accepted.items()
+    }
     reports = []
     if by_row:
-        counts = quality.failure_counts(df, {f"{kind} {c}": test for kind, c, test in by_row})
-        reports.append(
-            counts.selectExpr(
-                "split(check, ' ')[0] as check",
-                f"'{model}' as model",
-                "split(check, ' ')[1] as columns",
-                "failures",
-            )
-        )
+        counts = quality.failure_counts(df, by_row)
+        named = ["check", F.lit(model).alias("model"), F.col("column").alias("columns"), "failures"]
+        reports.append(counts.select(*named))
     for c in checks.unique:
         reports.append(_report("unique", model, c, _failing_rows(quality.unique(df, c))))
     for c, (parent, key) in checks.relationships.items():

@@ -96,7 +96,15 @@ def test_suite_finds_the_orphans_and_nothing_else(warehouse):
     assert len(report) == 185
     failing = {(r["check"], r["model"]): r["failures"] for r in report if r["failures"]}
     assert failing == {
-        ("relationships", "stg_payments"): 35,
+        ("relationships", "stg_payments"): 2,
         ("relationships", "stg_reviews"): 28,
         ("relationships", "payments_per_order"): 35,
     }
+
+
+def test_values_and_names_of_any_characters(spark):
+    df = spark.createDataFrame([(0.5, "d'Or"), (0.7, "x"), (None, None)], ["a rate", "the`name"])
+    assert [r["value"] for r in quality.accepted_values(df, "a rate", [0.5]).collect()] == ["0.7"]
+    assert [r["value"] for r in quality.accepted_values(df, "the`name", ["d'Or"]).collect()] == ["x"]
+    rows = quality.not_null(df, ["a rate", "the`name"]).collect()
+    assert [(r["column"], r["failures"]) for r in rows] == [("a rate", 1), ("the`name", 1)]
