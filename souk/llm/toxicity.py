@@ -66,20 +66,43 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return texts, buckets.astype(np.int64)
 
 
-def counts(texts, buckets, n_texts: int, place: np.ndarray, width: int) -> np.ndarray:
-    """log(1 + count) of each chosen feature, a row for each text; place is -1 if not chosen."""
-    own = place[buckets]
-    chosen = own >= 0
-    flat = np.bincount(texts[chosen] * width + own[chosen], minlength=n_texts * width)
-    return np.log1p(flat.reshape(n_texts, width).astype(np.float32))
+def _slices(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, number, text, bucket) of slices of the texts, so that features of few texts
+    are held at a time."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    first = 0
+    for part in common.steps(batch, "text"):
+        yield first, part.num_rows, *features(part.column(0))
+        first += part.num_rows
+
+
+def counts(texts: list[str], chosen: np.ndarray) -> np.ndarray:
+    """How often each chosen feature occurs in each text."""
+    place = places(chosen)
+    out = np.zeros((len(texts), len(chosen)), np.float32)
+    for first, n, text, bucket in _slices(texts):
+        own = place[bucket]
+        at = text[own >= 0] * len(chosen) + own[own >= 0]
+        out[first : first + n] = np.bincount(at, minlength=n * len(chosen)).reshape(n, -1)
+    return out
+
+
+def places(chosen: np.ndarray) -> np.ndarray:
+    """For each bucket its place among the chosen ones, or -1."""
+    place = np.full(BUCKETS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    return place
 
 
-def choose(texts, buckets, marked: np.ndarray) -> np.ndarray:
+def choose(texts: list[str], marked: np.ndarray) -> np.ndarray:
     """The buckets that are in more of the marked texts than of the others, best first."""
-    pairs = np.unique(texts * BUCKETS + buckets)
-    texts, buckets = pairs // BUCKETS, pairs % BUCKETS
-    inside = np.bincount(buckets[marked[texts]], minlength=BUCKETS)
-    outside = np.bincount(buckets[~marked[texts]], minlength=BUCKETS)
+    inside, outside = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for first, n, text, bucket in _slices(texts):
+        pairs = np.unique(text * BUCKETS + bucket)
+        text, bucket = pairs // BUCKETS, pairs % BUCKETS
+        own = marked[first : first + n][text]
+        inside += np.bincount(bucket[own], minlength=BUCKETS)
+        outside += np.bincount(bucket[~own], minlength=BUCKETS)
     rate_in = inside / max(1, marked.sum())
     rate_out = (outside + 0.5) / (max(1, (~marked).sum()) + 1)
     held = np.flatnonzero(inside)
@@ -117,17 +140,13 @@ class Model:
 
 def fit(texts: list[str], grades: list[int], rounds: int = 300, rate: float = 0.1) -> Model:
     """Maximises the penalised likelihood by Adam; cuts are a first one and positive gaps."""
-    column = pa.array(texts, pa.string())
     grade = np.asarray(grades)
     top = int(grade.max(initial=0))
     if top < 1 or not (grade == 0).any():
         return Model(np.full(BUCKETS, -1), np.zeros(1), np.zeros(0))
-    found = features(column)
-    chosen = choose(*found, grade > 0)
-    place = np.full(BUCKETS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-    width = max(1, len(chosen))
-    x = counts(*found, len(texts), place, width)
+    chosen = choose(texts, grade > 0)
+    width = len(chosen)
+    x = np.log1p(counts(texts, chosen))
     weight = np.full(len(grade), 1 / len(grade))
     state = np.concatenate([np.zeros(width), [1.0], np.full(top - 1, 0.5)])
     mean, square = np.zeros_like(state), np.zeros_like(state)
@@ -158,18 +177,14 @@ def fit(texts: list[str], grades: list[int], rounds: int = 300, rate: float = 0.
         state = state - rate * move
     gaps = np.exp(state[width + 1 :])
     cuts = state[width] + np.concatenate([[0.0], np.cumsum(gaps)])
-    return Model(place, state[:width], cuts)
+    return Model(places(chosen), state[:width], cuts)
 
 
 def grades(texts: list[str], toxic: list[int]) -> list[int]:
     """Grades 0, 1 and 2 for 0/1 labels: a toxic text is severe if it has more features that
     mark toxic texts than the median of the toxic texts."""
     marked = np.asarray(toxic) > 0
-    column = pa.array(texts, pa.string())
-    found = features(column)
-    chosen = np.zeros(BUCKETS, bool)
-    chosen[choose(*found, marked)] = True
-    hits = np.bincount(found[0][chosen[found[1]]], minlength=len(texts))
+    hits = counts(texts, choose(texts, marked)).sum(axis=1)
     middle = np.median(hits[marked]) if marked.any() else 0
     return (marked.astype(int) + (marked & (hits > middle))).tolist()
 
