@@ -214,10 +214,11 @@ def extract(html: str | None, weights: Weights) -> str:
 def labelled(pages: DataFrame, html: str = "html") -> list[str]:
     """The bounded sample of pages to learn from."""
     named = F.lower(html).rlike(r"<(article|main)[\s>]") & (F.octet_length(html) <= SAMPLE_BYTES)
-    # The hash alone is ordered, and pages of the least hashes are read.
     rows = pages.where(named).select(F.xxhash64(html).alias("h"), F.col(html).alias("html"))
-    found = rows.orderBy("h", "html").limit(SAMPLE_PAGES).collect()
-    return sorted(row.html for row in found)
+    # Only hashes are put in order, and few of them, so that no page is sent in vain.
+    least = rows.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES)
+    found = rows.join(F.broadcast(least), "h").groupBy("h").agg(F.min("html").alias("html"))
+    return sorted(row.html for row in found.collect())
 
 
 def main_text(pages: DataFrame, weights: Weights | None = None) -> DataFrame:
