@@ -16,7 +16,10 @@ boundary l + 1. After ``MIN_BYTES`` - 1 rounds the expansion stops; suffixes wit
 share a string, and it is repeated if it starts at two places.
 
 An anchor with more than ``MOST_STRETCHES`` different stretches (the edge of a passage that many
-documents have) would fill a block. Its strings are hashed one by one and counted by Spark.
+documents have) would fill a block. Its stretches are cut into cells of strings that start close
+together. Parts in a cell that are the same are again counted as one, and only parts that share
+the bytes common to the cell's strings are looked at: in a block if they are few, else in smaller
+cells, down to one string.
 
 Null texts are empty. Rows count each, so a row that repeats another of ``MIN_BYTES`` bytes
 loses all of them, and so does the other. Matches never cross documents. Texts of any length are
@@ -42,18 +45,21 @@ GRAM = 64
 # Different stretches of one anchor that a block may hold, and the bytes of a block
 MOST_STRETCHES = 512
 BLOCK_BYTES = 1 << 20
+# Strings in the cells that a hot anchor's stretches are cut into first
+CELL = 49
 # Bits of a hash that decide which part is least; the others hold its place
 PLACE_BITS = 26
 
-STRETCHES = "anchor long, stretch long, lo int, n int"
+STRETCHES = "anchor long, stretch long, lo int, n int, distance int"
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray):
-    """(text, first string, strings, anchor hash, stretch hash) of every stretch of the texts."""
+    """(text, first string, strings, distance of the anchor, hashes of the anchor and of the
+    stretch) of every stretch of the texts."""
     width = MIN_BYTES - GRAM + 1
     none = np.zeros(0, np.int64)
     if len(data) < MIN_BYTES:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     part = common.Substrings(data)
     grams = np.arange(len(data) - GRAM + 1)
     hashes = part(grams, grams + GRAM)
@@ -71,8 +77,9 @@ def stretches(data: np.ndarray, offsets: np.ndarray):
     n = n[inside[np.flatnonzero(change | ~inside)]]
     anchor = hashes[place[first]]
     whole = part(first, first + n - 1 + MIN_BYTES)
-    distance = ((place[first] - first) * MIN_BYTES + n).astype(np.uint64)
-    return text[first], first, n, anchor, common.mix(whole ^ common.mix(distance))
+    distance = place[first] - first
+    shape = (distance * MIN_BYTES + n).astype(np.uint64)
+    return text[first], first, n, distance, anchor, common.mix(whole ^ common.mix(shape))
 
 
 def found_stretches(docs: DataFrame) -> DataFrame:
@@ -83,7 +90,7 @@ def found_stretches(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for rows in common.steps(batch, "data"):
                 data, offsets = common.flat(rows.column("data"))
-                text, first, n, anchor, stretch = stretches(data, offsets)
+                text, first, n, distance, anchor, stretch = stretches(data, offsets)
                 if not len(text):
                     continue
                 yield pa.RecordBatch.from_arrays(
@@ -94,8 +101,9 @@ def found_stretches(docs: DataFrame) -> DataFrame:
                         pa.array(stretch.view(np.int64)),
                         pa.array((first - offsets[text]).astype(np.int32)),
                         pa.array(n.astype(np.int32)),
+                        pa.array(distance.astype(np.int32)),
                     ],
-                    names=["id", "digest", "anchor", "stretch", "lo", "n"],
+                    names=["id", "digest", "anchor", "stretch", "lo", "n", "distance"],
                 )
 
     return docs.mapInArrow(run, f"id {kind}, digest long, {STRETCHES}")
@@ -254,39 +262,101 @@ def compared(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, RANGES)
 
 
-def _one_by_one(rows: DataFrame) -> DataFrame:
-    """Repeated strings of stretches (anchor, stretch, n, bytes), each string by itself."""
+def _cells(rows: DataFrame, size: int) -> DataFrame:
+    """Stretches (anchor, stretch, n, distance, bytes) cut into cells of ``size`` strings.
+
+    Cells are counted from the anchor, so equal strings are in equal cells. ``key`` is a hash of
+    the anchor, the cell, and the bytes that all strings of the cell have; ``part`` is one of
+    the part of the stretch in the cell. ``at`` and ``n`` are the part's place and strings.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = batch.column("n").to_numpy().astype(np.int64)
+            n, distance = (batch.column(x).to_numpy().astype(np.int64) for x in ("n", "distance"))
             data, offsets = common.flat(batch.column("bytes"))
-            row = np.repeat(np.arange(len(starts)), starts)
-            at = np.arange(len(row)) - np.repeat(np.cumsum(starts) - starts, starts)
-            first = offsets[row] + at
-            string = common.Substrings(data)(first, first + MIN_BYTES)
+            part = common.Substrings(data)
+            shift = MIN_BYTES - GRAM - distance
+            cells = (shift + n - 1) // size - shift // size + 1
+            row = np.repeat(np.arange(len(n)), cells)
+            cell = shift[row] // size + np.arange(len(row)) - np.repeat(np.cumsum(cells) - cells, cells)
+            first = cell * size - shift[row]
+            low, high = np.maximum(first, 0), np.minimum(first + size, n[row])
+            anchor = batch.column("anchor").to_numpy().view(np.uint64)[row]
+            shared = part(offsets[row] + first + size - 1, offsets[row] + first + MIN_BYTES)
+            key = common.mix(shared ^ common.mix(anchor + cell.astype(np.uint64)))
+            whole = part(offsets[row] + low, offsets[row] + high - 1 + MIN_BYTES)
+            place = ((low - first) * MIN_BYTES + high - low).astype(np.uint64)
+            whole = common.mix(whole ^ common.mix(place))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("anchor").take(pa.array(row)),
                     batch.column("stretch").take(pa.array(row)),
-                    pa.array(at.astype(np.int32)),
-                    pa.array(string.view(np.int64)),
+                    pa.array(low.astype(np.int32)),
+                    pa.array((high - low).astype(np.int32)),
+                    pa.array(key.view(np.int64)),
+                    pa.array(whole.view(np.int64)),
                 ],
-                names=["anchor", "stretch", "at", "string"],
+                names=["anchor", "stretch", "at", "n", "key", "part"],
             )
 
-    strings = rows.mapInArrow(run, "anchor long, stretch long, at int, string long")
-    strings = common.written(strings, "strings")
-    often = strings.groupBy("anchor", "string").agg(F.count(F.lit(1)).alias("times"))
-    often = often.where("times > 1").select("anchor", "string")
-    return strings.join(often, ["anchor", "string"], "left_semi").select(
-        "anchor", "stretch", "at", F.lit(1).alias("number")
+    return rows.mapInArrow(
+        run, "anchor long, stretch long, at int, n int, key long, part long"
     )
 
 
+def repeated(pieces: DataFrame, size: int = CELL) -> DataFrame:
+    """Ranges (anchor, stretch, at, number) of the strings of different stretches (anchor,
+    stretch, n, distance, bytes, many) that repeat. ``many`` marks anchors with too many for a
+    block: their stretches are cut into cells, and cells that share all they can are compared
+    like anchors, down to cells of one string."""
+    few = pieces.where("not many").select("anchor", "stretch", "n", "bytes")
+    few = few.repartition("anchor").sortWithinPartitions("anchor", "stretch")
+    found = compared(few)
+    many = pieces.where("many")
+    if many.isEmpty():
+        return found
+    cells = common.written(_cells(many, size), "cells")
+    one = F.struct("anchor", "stretch", "at", "n")
+    distinct = cells.groupBy("key", "part").agg(
+        F.count(F.lit(1)).alias("times"), F.min(one).alias("one")
+    )
+    distinct = common.written(distinct, "parts")
+    ranges = distinct.where("times > 1").select(
+        F.col("key").alias("anchor"),
+        F.col("part").alias("stretch"),
+        F.lit(0).alias("at"),
+        F.col("one.n").alias("number"),
+    )
+    if size > 1:
+        groups = distinct.groupBy("key").agg(
+            F.count(F.lit(1)).alias("different"), F.min("times").alias("least")
+        )
+        wanted = distinct.join(groups.where("different > 1 and least = 1"), "key").select(
+            "key", "part", "one.*", (F.col("different") > MOST_STRETCHES).alias("more")
+        )
+        own = many.drop("n", "many").join(wanted, ["anchor", "stretch"])
+        length = F.col("n") - 1 + MIN_BYTES
+        own = own.select(
+            F.col("key").alias("anchor"),
+            F.col("part").alias("stretch"),
+            "n",
+            (F.col("distance") - F.col("at")).alias("distance"),
+            F.substring(F.col("bytes"), F.col("at") + 1, length).alias("bytes"),
+            F.col("more").alias("many"),
+        )
+        ranges = ranges.unionByName(repeated(common.written(own, "pieces"), max(1, size // 7)))
+    ranges = common.written(ranges, "ranges").select(
+        F.col("anchor").alias("key"), F.col("stretch").alias("part"), F.col("at").alias("from"), "number"
+    )
+    back = cells.drop("n").join(ranges, ["key", "part"]).select(
+        "anchor", "stretch", (F.col("at") + F.col("from")).alias("at"), "number"
+    )
+    return found.unionByName(back)
+
+
 def _bytes_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The wanted stretches (id, digest, anchor, stretch, lo, n, many) with their bytes."""
-    piece = F.struct("anchor", "stretch", "lo", "n", "many")
+    """The wanted stretches (id, digest, anchor, stretch, lo, n, distance, many) with their bytes."""
+    piece = F.struct("anchor", "stretch", "lo", "n", "distance", "many")
     lists = wanted.groupBy("id", "digest").agg(F.collect_list(piece).alias("pieces"))
     joined = _with(docs, lists, "inner").select("data", "pieces")
 
@@ -302,13 +372,15 @@ def _bytes_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         pieces.field("anchor"),
                         pieces.field("stretch"),
                         pieces.field("n"),
+                        pieces.field("distance"),
                         pieces.field("many"),
                         pa.array(cut, pa.binary()),
                     ],
-                    names=["anchor", "stretch", "n", "many", "bytes"],
+                    names=["anchor", "stretch", "n", "distance", "many", "bytes"],
                 )
 
-    return joined.mapInArrow(run, "anchor long, stretch long, n int, many boolean, bytes binary")
+    kinds = "anchor long, stretch long, n int, distance int, many boolean, bytes binary"
+    return joined.mapInArrow(run, kinds)
 
 
 def _with(docs: DataFrame, other: DataFrame, how: str) -> DataFrame:
@@ -334,7 +406,7 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     every = common.written(found_stretches(rows), "stretches")
     distinct = every.groupBy("anchor", "stretch").agg(
         F.count(F.lit(1)).alias("times"),
-        F.min(F.struct("id", "digest", "lo", "n")).alias("one"),
+        F.min(F.struct("id", "digest", "lo", "n", "distance")).alias("one"),
     )
     distinct = common.written(distinct, "distinct")
     anchors = distinct.groupBy("anchor").agg(
@@ -345,14 +417,10 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
         "one.*", "anchor", "stretch", (F.col("different") > MOST_STRETCHES).alias("many")
     )
     pieces = common.written(_bytes_of(rows, wanted), "pieces")
-    few = pieces.where("not many").select("anchor", "stretch", "n", "bytes")
-    few = few.repartition("anchor").sortWithinPartitions("anchor", "stretch")
-    many = pieces.where("many").select("anchor", "stretch", "n", "bytes")
-    found = common.written(compared(few).unionByName(_one_by_one(many)), "ranges")
+    found = common.written(repeated(pieces), "ranges")
     whole = distinct.where("times > 1").select(
         "anchor", "stretch", F.lit(0).alias("at"), F.col("one.n").alias("number")
     )
-    # Strings of the hot anchors come back one by one.
     found = whole.unionByName(found).groupBy("anchor", "stretch").agg(
         F.collect_list(F.struct("at", "number")).alias("ranges")
     )
