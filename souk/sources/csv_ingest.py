@@ -9,9 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from souk.functions.expressions import half_up, rows
 from souk.operators.quality import union_all
@@ -52,45 +51,133 @@ class Ingested:
     stats: DataFrame
 
 
-def spans_lines(spark: SparkSession, path: str) -> bool:
-    """Whether some record continues on the next line.
+# One field: quoted if it begins with a quote, else plain text in which quotes mean nothing.
+# Every loop is possessive, so long fields neither backtrack nor recurse.
+_QUOTED = '"(?:[^"]++|"")*+'
+_FIELD = f'(?:{_QUOTED}"[^,]*+|[^",][^,]*+)?+'
+_OPEN_AT_END = f"^(?:{_FIELD},)*+{_QUOTED}\\z"
+_COUNTED = f"\\G(?:{_FIELD},|{_QUOTED}\\z)"
 
-    It does exactly if a line holds an odd number of quotes. Knowing that none does lets
-    Spark split large files; with multi-line records a file is one task.
+_BLOCK = ["_file", "_block"]
+
+
+def open_at_end(text: Column) -> Column:
+    """Whether the text, read from the start of a field, ends inside a quoted one."""
+    return text.rlike(_OPEN_AT_END)
+
+
+def field_count(record: Column) -> Column:
+    """Fields in the text of a record."""
+    return F.regexp_count(F.concat(record, F.lit(",")), F.lit(_COUNTED))
+
+
+def _with_states(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Whether each row begins and ends inside a quoted field, by where its group begins.
+
+    A row turns its beginning into its end by (`_plain`, `_quoted`): where it ends if it begins
+    outside, and inside, a quoted field. Rows whose two ends agree settle the state whatever
+    came before; after them, only the number of rows that swap the two matters.
+    """
+    so_far = Window.partitionBy(*keys).orderBy(order)
+    odd_swaps = F.count_if(F.col("_plain") & ~F.col("_quoted")).over(so_far) % 2 == 1
+    settled = F.when(F.col("_plain") == F.col("_quoted"), F.col("_plain") != F.col("_odd"))
+    df = df.withColumn("_odd", odd_swaps)
+    df = df.withColumn("_settled", F.last(settled, ignorenulls=True).over(so_far))
+    for start, begin in ((0, F.lit(False)), (1, F.lit(True))):
+        end = F.coalesce(F.col("_settled"), begin) != F.col("_odd")
+        df = df.withColumn(f"_end{start}", end)
+        df = df.withColumn(f"_begin{start}", F.lag(f"_end{start}", 1, bool(start)).over(so_far))
+    return df.drop("_odd", "_settled", "_plain", "_quoted")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of all files with their place, and their state for both beginnings of the block.
+
+    A block is what one scan task reads of a file, so it is bounded by the scan's split size.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = spark.read.text(path).agg(F.max(quotes % 2 == 1).alias("odd")).first()
-    return bool(odd["odd"])
+    value = F.col("value")
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+        "value",
+        open_at_end(value).alias("_plain"),
+        open_at_end(F.concat(F.lit('"'), value)).alias("_quoted"),
+    )
+    lines = _with_states(lines, _BLOCK, "_line")
+    so_far = Window.partitionBy(*_BLOCK).orderBy("_line")
+    for start in (0, 1):
+        lines = lines.withColumn(
+            f"_record{start}", F.count_if(~F.col(f"_begin{start}")).over(so_far)
+        )
+    return lines
+
+
+def _blocks(lines: DataFrame) -> DataFrame:
+    """Where each block begins (in a quoted field or not) and the records begun before it."""
+    blocks = lines.groupBy(*_BLOCK).agg(
+        F.max_by("_end0", "_line").alias("_plain"),
+        F.max_by("_end1", "_line").alias("_quoted"),
+        F.max("_record0").alias("_records0"),
+        F.max("_record1").alias("_records1"),
+    )
+    blocks = _with_states(blocks, ["_file"], "_block")
+    begun = F.when(F.col("_begin0"), F.col("_records1")).otherwise(F.col("_records0"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    return blocks.select(
+        *_BLOCK,
+        F.col("_begin0").alias("_inside"),
+        F.coalesce(F.sum(begun).over(earlier), F.lit(0)).alias("_before"),
+    )
 
 
-def read_records(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+def record_texts(spark: SparkSession, path: str, store: TableStore, name: str) -> DataFrame:
+    """The text of every record, headers and blank lines excluded.
+
+    Files are split whether or not records span lines. Each block is scanned once for both ways
+    it may begin; a pass over one row per block then tells which way it was, and numbers the
+    records. Only lines of records that span several are brought together.
+    """
+    lines = store.replace(_lines(spark, path), f"{name}_lines")
+    inside = F.col("_inside")
+    placed = lines.join(_blocks(lines), _BLOCK).select(
+        "_file",
+        "_block",
+        "_line",
+        "value",
+        F.when(inside, F.col("_begin1")).otherwise(F.col("_begin0")).alias("_begin"),
+        F.when(inside, F.col("_end1")).otherwise(F.col("_end0")).alias("_end"),
+        (F.col("_before") + F.when(inside, F.col("_record1")).otherwise(F.col("_record0"))).alias(
+            "_record"
+        ),
+    ).where("_record > 1")
+    whole = ~F.col("_begin") & ~F.col("_end")
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_line", "value")))
+    joined = (
+        placed.where(~whole)
+        .groupBy("_file", "_record")
+        .agg(F.array_join(parts["value"], "\n").alias("text"))
+    )
+    texts = placed.where(whole).select(F.col("value").alias("text")).unionAll(joined.select("text"))
+    return texts.select(F.regexp_replace("text", "\r\\z", "").alias("text")).where(
+        F.trim("text") != ""
+    )
+
+
+def read_records(spark: SparkSession, path: str, store: TableStore, name: str) -> DataFrame:
     """All records as text columns named by the header, plus the text of malformed ones.
 
     Short records keep their leading fields, long ones their first fields; both carry their
     full text in `_record`, which is NULL for the others.
     """
-    if multiline is None:
-        multiline = spans_lines(spark, path)
     header = spark.read.option("header", True).option("escape", '"').csv(path).columns
-    names = [name.lstrip("﻿") for name in header]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, RECORD]])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RECORD)
-        # Without this, records count as malformed or not depending on the columns in use.
-        .option("columnPruning", False)
-        .csv(path)
-    )
-
-
-def field_count(record: Column) -> Column:
-    """Fields in the text of a record: commas outside quotes, plus one."""
-    unquoted = F.regexp_replace(record, '"[^"]*"', "")
-    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    names = [column.lstrip("\ufeff") for column in header]
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, RECORD])
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
+    fields = F.from_csv("text", schema, options)
+    return record_texts(spark, path, store, name).select(fields.alias("fields")).select("fields.*")
 
 
 def classified(records: DataFrame, strict: bool) -> DataFrame:
@@ -121,16 +208,14 @@ def ingest(
     path: str,
     table: RawTable,
     store: TableStore,
-    multiline: bool | None = None,
 ) -> Ingested:
     """Replace one raw table by the content of its CSV file or folder.
 
     The text is parsed once, into a table split by outcome. Loaded rows, set-aside records
     and counts are all read from there.
     """
-    landed = store.replace(
-        classified(read_records(spark, path, multiline), table.strict), table.name, [OUTCOME]
-    )
+    records = read_records(spark, path, store, table.name)
+    landed = store.replace(classified(records, table.strict), table.name, [OUTCOME])
     loaded = F.count_if(F.col(OUTCOME) == LOADED)
     skipped = F.count_if(F.col(OUTCOME) == SKIPPED)
     stats = landed.agg(

@@ -1,8 +1,12 @@
+import csv as csv_module
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from souk.plans.warehouse import Warehouse
 from souk.sources import csv_files
-from souk.sources.csv_ingest import CsvTables, ingest, read_records, spans_lines
+from souk.sources.csv_ingest import CsvTables, field_count, ingest, read_records
 from souk.sources.raw_tables import RAW_TABLES, RawTable
 from souk.sources.store import TableStore
 
@@ -66,18 +70,51 @@ def test_load_replaces(spark, csv, store):
     assert rows(loaded.clean) == [("3", "z")]
 
 
-def test_line_spanning_records_are_noticed(spark, csv):
-    assert spans_lines(spark, csv("a.csv", RECORDS))
-    assert not spans_lines(spark, csv("b.csv", 'id,a\n1,"x ""y"" z"\n2,"p,q"\n'))
-
-
-def test_same_records_either_way_when_none_spans_lines(spark, csv):
-    path = csv("b.csv", 'id,a\n1,"x ""y"" z"\n2,"p,q"\n3\n4,r,s\n')
-    assert rows(read_records(spark, path, True)) == rows(read_records(spark, path, False))
-
-
-def test_byte_order_mark_is_not_part_of_the_first_name(spark, csv):
-    assert read_records(spark, csv("b.csv", "﻿id,a\n1,x\n")).columns[0] == "id"
+def test_quotes_inside_plain_fields_are_text(spark, csv, store):
+    path = csv("q.csv", 'a,b\n5" pipe,x,3" y\n6" rod,y\n"7""",z\n')
+    loaded = ingest(spark, path, RawTable("q", ("a",)), store)
+    assert rows(loaded.clean) == [('6" rod', "y"), ('7"', "z")]
+    assert rows(loaded.quarantine) == [("q", '5" pipe,x,3" y')]
+
+
+def test_field_count(spark):
+    texts = {"": 1, ",": 2, '"a,b",c': 2, 'a"b,c"d': 2, '"a""",",",': 3, 'x,"open,y': 2, '"p"q,r': 2}
+    df = spark.createDataFrame([(t, n) for t, n in texts.items()], "t string, n int")
+    assert df.where(field_count(F.col("t")) != F.col("n")).count() == 0
+
+
+@pytest.mark.parametrize("split", [40, 333, 1 << 20])
+def test_records_are_whole_wherever_files_are_split(spark, tmp_path, store, split):
+    pick = random.Random(split)
+    pieces = ["a", "long text", "6\" x", "two\nlines", 'said "so", he', "\n\n\n", "", "é,ü", '"']
+    folder = tmp_path / "split.csv"
+    folder.mkdir()
+    expected = []
+    for part in range(2):
+        records = [[f"{part}-{i}", *pick.choices(pieces, k=2)] for i in range(200)]
+        expected += [tuple(r) for r in records]
+        with open(folder / f"part{part}.csv", "w", encoding="utf-8", newline="") as out:
+            writer = csv_module.writer(out, lineterminator="\n")
+            writer.writerows([["id", "a", "b"], *records])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        loaded = ingest(spark, str(folder), RawTable("split", ("id",), strict=True), store)
+        blocks = store.read("split_lines").select("_file", "_block").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert rows(loaded.clean) == sorted(expected)
+    assert loaded.quarantine.count() == 0
+    assert blocks > 20 if split == 333 else blocks >= 2
+
+
+def test_byte_order_mark_is_not_part_of_the_first_name(spark, csv, store):
+    path = csv("b.csv", "\ufeffid,a\r\n1,x\r\n")
+    records = read_records(spark, path, store, "bom")
+    assert records.columns[0] == "id"
+    assert rows(records) == [("1", "x", None)]
 
 
 def test_empty_file_has_no_percentage(spark, csv, store):
