@@ -15,6 +15,8 @@ from souk.plans.warehouse import Warehouse
 
 # Commission values offered by the scenario question
 SCENARIO_COMMISSIONS = [0.10, 0.12, 0.15, 0.18, 0.20]
+# Rates of the override question
+OTHER_COMMISSION, OTHER_PAYMENT_FEE = 0.18, 0.025
 MATURE_MONTHS = 13
 TOP_CITIES = 20
 
@@ -272,6 +274,59 @@ def orders_per_customer(w: Warehouse) -> DataFrame:
     )
 
 
+def sales_by_state(w: Warehouse) -> DataFrame:
+    return (
+        w["sales_by_city"]
+        .groupBy("state")
+        .agg(
+            F.sum("orders").alias("orders"),
+            *[total(c).alias(c) for c in ["product_revenue", "freight_total", "gmv"]],
+        )
+    )
+
+
+def promise_vs_actual(w: Warehouse) -> DataFrame:
+    """Mean days promised and taken by state, over orders that have both dates."""
+    promised = F.date_diff(F.to_date("promised_at"), "purchase_date")
+    return (
+        delivered(w["fact_orders"])
+        .where("delivered_at is not null and promised_at is not null")
+        .groupBy(F.col("customer_state").alias("state"))
+        .agg(
+            rows().alias("orders"),
+            mean(promised, 1).alias("avg_promised_days"),
+            mean(F.col("delivery_days"), 1).alias("avg_actual_days"),
+        )
+    )
+
+
+def orders_by_method_count(w: Warehouse) -> DataFrame:
+    """Delivered orders by the number of payment methods they were paid with."""
+    methods = w["stg_payments"].select("order_id", "payment_type").distinct()
+    return (
+        methods.join(delivered(w["order_base"]).select("order_id"), "order_id", "left_semi")
+        .groupBy("order_id")
+        .agg(rows().alias("methods"))
+        .groupBy("methods")
+        .agg(rows().alias("orders"))
+    )
+
+
+def take_rate_override(w: Warehouse) -> DataFrame:
+    """The take rate under other rates than the assumed ones."""
+    return order_marts.take_rate(w["fact_orders"], OTHER_COMMISSION, OTHER_PAYMENT_FEE)
+
+
+def view_statement(w: Warehouse) -> DataFrame:
+    """A statement over a published view."""
+    w.publish(["dim_customers"])
+    return w.spark.sql(
+        """select segment, state, count(*) as customers,
+             cast(sum(paid_total) as decimal(38,2)) as paid
+           from dim_customers group by segment, state"""
+    )
+
+
 QUESTIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -300,5 +355,10 @@ QUESTIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
         delay_by_seller_state,
         ticket_rank_states,
         orders_per_customer,
+        sales_by_state,
+        promise_vs_actual,
+        orders_by_method_count,
+        take_rate_override,
+        view_statement,
     ]
 }

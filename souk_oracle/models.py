@@ -35,10 +35,20 @@ DISTANCE = _bucket(
     [(100, "local (<100km)"), (500, "regional (100-500km)"), (1500, "national (500-1500km)")],
     "long distance (1500km+)",
 )
-PUNCTUALITY = """case when days_vs_promise < 0 then 'early'
-    when days_vs_promise = 0 then 'on day'
-    when days_vs_promise between 1 and 3 then 'late (1-3 days)'
-    else 'very late (4+ days)' end"""
+PUNCTUALITY = """['early', 'on day', 'late (1-3 days)', 'very late (4+ days)'][
+    1 + cast(days_vs_promise >= 0 as int) + cast(days_vs_promise > 0 as int)
+      + cast(days_vs_promise > 3 as int)]"""
+
+MONEY = "decimal(28,2)"
+
+
+def sales(where: str = "true") -> str:
+    """Orders and their money over orders that fulfil the condition."""
+    kept = f"filter (where {where})"
+    return f"""cast(sum(product_revenue) {kept} as {MONEY}) as product_revenue,
+  cast(sum(freight) {kept} as {MONEY}) as freight_total,
+  cast(sum(paid_value) {kept} as {MONEY}) as gmv"""
+
 
 
 MODELS: dict[str, str] = {}
@@ -202,40 +212,38 @@ from (select unnest(generate_series(
         (select max(purchased_at)::date::timestamp from stg_orders), interval 1 day)) as day)
 """
 
-MODELS["scores"] = """
-select order_id, cast(sum(score) as double) / count(score) as review_score,
-  count(distinct review_id) as review_count
-from stg_reviews group by order_id
-"""
-
-MODELS["baskets"] = """
-select order_id, count(*) as item_count, count(distinct seller_id) as seller_count,
-  cast(sum(price) as decimal(18,2)) as product_revenue,
-  cast(sum(freight) as decimal(18,2)) as freight
-from stg_order_items group by order_id
+MODELS["order_parts"] = """
+select order_id, nullif(count(item_no), 0) as item_count,
+  nullif(count(distinct seller_id), 0) as seller_count,
+  cast(sum(price) as decimal(28,2)) as product_revenue, cast(sum(freight) as decimal(28,2)) as freight,
+  cast(sum(payment_value) as decimal(28,2)) as paid, max(installments) as max_installments,
+  cast(sum(score) as double) / count(score) as review_score,
+  nullif(count(distinct review_id), 0) as review_count
+from (select order_id, item_no, seller_id, price, freight from stg_order_items
+      union all by name select order_id, payment_value, installments from stg_payments
+      union all by name select order_id, review_id, score from stg_reviews)
+group by order_id
 """
 
 MODELS["fact_orders"] = """
 select order_id, customer_id, customer_uid, state as customer_state, city as customer_city,
-  order_status, cast(purchased_at as date) as purchase_date,
-  cast(date_trunc('month', purchased_at) as date) as purchase_month,
+  order_status, bought_on as purchase_date, cast(date_trunc('month', bought_on) as date) as purchase_month,
   approved_at, shipped_at, delivered_at, promised_at,
   item_count, seller_count, product_revenue, freight,
-  cast(coalesce(order_paid_total, product_revenue + freight) as decimal(18,2)) as paid_value,
-  order_paid_total is null and product_revenue is not null as paid_imputed,
-  max_installments,
-  date_sub('hour', purchased_at, approved_at) / cast(24 as double) as approval_days,
-  date_sub('hour', approved_at, shipped_at) / cast(24 as double) as handling_days,
-  date_sub('hour', shipped_at, delivered_at) / cast(24 as double) as transit_days,
-  date_diff('day', cast(purchased_at as date), cast(delivered_at as date)) as delivery_days,
-  date_diff('day', cast(promised_at as date), cast(delivered_at as date)) as days_vs_promise,
+  cast(case when paid is null then product_revenue + freight else paid end as decimal(28,2))
+    as paid_value,
+  paid is null and product_revenue is not null as paid_imputed, max_installments,
+  hours[1] / cast(24 as double) as approval_days, hours[2] / cast(24 as double) as handling_days,
+  hours[3] / cast(24 as double) as transit_days,
+  arrived_on - bought_on as delivery_days, arrived_on - cast(promised_at as date) as days_vs_promise,
   delivered_at <= promised_at as is_on_time,
   order_status = 'delivered' as is_delivered,
   order_status in ('canceled', 'unavailable') as is_cancelled,
   review_score, review_count
-from stg_orders join stg_customers using (customer_id)
-left join baskets using (order_id) left join payments_per_order using (order_id)
-left join scores using (order_id)
+from (select *, cast(purchased_at as date) as bought_on, cast(delivered_at as date) as arrived_on,
+        [date_sub('hour', purchased_at, approved_at), date_sub('hour', approved_at, shipped_at),
+         date_sub('hour', shipped_at, delivered_at)] as hours from stg_orders)
+join stg_customers using (customer_id) left join order_parts using (order_id)
 """
 
 MODELS["fact_order_items"] = """
@@ -256,120 +264,107 @@ left join stg_geolocation b on b.zip_prefix = c.zip_prefix
 MODELS["sold_orders"] = "select * from fact_orders where is_delivered"
 MODELS["sold_items"] = "select * from fact_order_items where is_delivered"
 
-MODELS["cohort_purchases"] = """
-select cohort_month, customer_uid, paid_value,
-  (year(purchase_month) - year(cohort_month)) * 12
-    + month(purchase_month) - month(cohort_month) as months_since_first
-from sold_orders join dim_customers using (customer_uid)
-"""
-
-MODELS["cohort_sizes"] = """
-select cohort_month, count(distinct customer_uid) as cohort_customers
-from cohort_purchases where months_since_first = 0 group by cohort_month
-"""
-
-MODELS["cohort_cells"] = """
-select cohort_month, months_since_first, count(distinct customer_uid) as active_customers,
-  cast(sum(paid_value) as decimal(28,2)) as period_revenue
-from cohort_purchases group by all
+MODELS["active_months"] = """
+select cohort_month, customer_uid, date_diff('month', cohort_month, purchase_month) as distance,
+  sum(paid_value) as paid
+from dim_customers join sold_orders using (customer_uid) group by all
 """
 
 MODELS["cohort_retention"] = f"""
-select cohort_month, months_since_first, cohort_customers, active_customers,
-  {ratio("active_customers", "cohort_customers")} as retention_rate, period_revenue,
-  {ratio("period_revenue", "cohort_customers", 2)} as revenue_per_cohort_customer,
-  (select (year(max(purchase_month)) - year(cohort_month)) * 12
-          + month(max(purchase_month)) - month(cohort_month) from sold_orders) as observable_months
-from cohort_cells join cohort_sizes using (cohort_month)
-"""
-
-MODELS["sales_by_city"] = """
-select customer_city as city, customer_state as state, count(*) as orders,
-  cast(sum(product_revenue) as decimal(28,2)) as product_revenue,
-  cast(sum(freight) as decimal(28,2)) as freight_total,
-  cast(sum(paid_value) as decimal(28,2)) as gmv, count(*) >= 100 as is_significant
+select cohort_month, distance as months_since_first, founders as cohort_customers,
+  active as active_customers, {ratio("active", "founders")} as retention_rate,
+  cast(paid as {MONEY}) as period_revenue, {ratio("paid", "founders", 2)} as revenue_per_cohort_customer,
+  date_diff('month', cohort_month, (select max(purchase_month) from sold_orders)) as observable_months
+from (select cohort_month, distance, count(*) as active, sum(paid) as paid,
+        max(case distance when 0 then count(*) end) over (partition by cohort_month) as founders
+      from active_months group by cohort_month, distance)
+where founders is not null
+"""
+
+MODELS["sales_by_city"] = f"""
+select customer_city as city, customer_state as state, count(*) as orders, {sales()},
+  count(*) >= 100 as is_significant
 from sold_orders group by customer_city, customer_state
 """
 
 MODELS["months"] = f"""
-select purchase_month as month, count(*) as orders,
-  count(distinct customer_uid) as unique_customers,
-  cast(sum(product_revenue) as decimal(28,2)) as product_revenue,
-  cast(sum(freight) as decimal(28,2)) as freight_total,
-  cast(sum(paid_value) as decimal(28,2)) as gmv,
-  {avg("product_revenue", 2)} as avg_product_ticket
+select purchase_month as month, count(*) as orders, count(distinct customer_uid) as unique_customers,
+  {sales()}, {avg("product_revenue", 2)} as avg_product_ticket
 from sold_orders group by purchase_month
 """
 
-MODELS["monthly_sales"] = f"""
-select a.*,
-  case when a.orders >= 100 and p.orders >= 100
-       then {ratio("(a.product_revenue - p.product_revenue)", "p.product_revenue")} end as revenue_mom,
-  case when a.orders >= 100 and p.orders >= 100
-       then {ratio("(a.orders - p.orders)", "p.orders")} end as orders_mom,
-  case when a.orders >= 100 and y.orders >= 100
-       then {ratio("(a.product_revenue - y.product_revenue)", "y.product_revenue")} end as revenue_yoy,
-  a.month in ((select min(month) from months), (select max(month) from months)) as is_edge_month
-from months a
-left join months p on p.month = cast(a.month - interval 1 month as date)
-left join months y on y.month = cast(a.month - interval 12 month as date)
-"""
-
-MODELS["categories"] = f"""
-select category, count(*) as items, count(distinct order_id) as orders,
-  count(distinct product_id) as distinct_products, count(distinct seller_id) as distinct_sellers,
-  cast(sum(product_revenue) as decimal(28,2)) as product_revenue,
-  cast(sum(freight) as decimal(28,2)) as freight_total,
-  {avg("product_revenue", 2)} as avg_item_price,
-  {ratio("sum(freight)", "sum(product_revenue)")} as freight_ratio
-from sold_items group by category
-"""
 
-MODELS["sales_by_category"] = f"""
-select *,
-  {ratio("product_revenue", "(select sum(product_revenue) from sold_items)")} as revenue_share,
-  {ratio('''sum(product_revenue) over (order by product_revenue desc, category
-    rows between unbounded preceding and current row)''',
-         "(select sum(product_revenue) from sold_items)")} as cumulative_share,
-  row_number() over (order by product_revenue desc, category) as rank
-from categories
-"""
+def growth(column: str, months: int) -> str:
+    """Change against the month that many months before, if both have 100 orders."""
+    frame = f"""over (order by month
+      range between interval {months} month preceding and interval {months} month preceding)"""
+    then = f"max(case when orders >= 100 then {column} end) {frame}"
+    return f"case when orders >= 100 then {ratio(f'({column} - {then})', then)} end"
+
 
-MODELS["entities"] = """
-select 'sellers' as dimension, cast(seller_id as varchar) as entity,
-  sum(product_revenue) as revenue from sold_items group by seller_id
-union all
-select 'categories', category, sum(product_revenue) from sold_items group by category
+MODELS["monthly_sales"] = f"""
+select *, {growth("product_revenue", 1)} as revenue_mom, {growth("orders", 1)} as orders_mom,
+  {growth("product_revenue", 12)} as revenue_yoy,
+  lag(month) over (order by month) is null or lead(month) over (order by month) is null
+    as is_edge_month
+from months
 """
 
-MODELS["ranked_entities"] = """
-select dimension, revenue,
-  row_number() over (partition by dimension order by revenue desc, entity) as position,
-  count(*) over (partition by dimension) as entities_total,
-  sum(revenue) over (partition by dimension) as all_revenue
-from entities
+MODELS["category_parts"] = """
+select category, grouping_id(product_id, seller_id, order_id) as part, count(*) as items,
+  count(product_revenue) as priced, sum(product_revenue) as revenue, sum(freight) as freight
+from sold_items
+group by grouping sets ((category), (category, product_id), (category, seller_id), (category, order_id))
 """
 
-MODELS["tiered_entities"] = """
-select *, case when position <= 10 then 'Top 10'
-  when position <= ceil(entities_total * cast(0.01 as double)) then 'Top 1%'
-  when position <= ceil(entities_total * cast(0.10 as double)) then 'Top 10%'
-  else 'Rest' end as tier
-from ranked_entities
+MODELS["sales_by_category"] = f"""
+select w.category, w.items, n.orders, n.distinct_products, n.distinct_sellers,
+  cast(w.revenue as {MONEY}) as product_revenue, cast(w.freight as {MONEY}) as freight_total,
+  {ratio("w.revenue", "w.priced", 2)} as avg_item_price,
+  {ratio("w.freight", "w.revenue")} as freight_ratio,
+  {ratio("w.revenue", "sum(w.revenue) over ()")} as revenue_share,
+  {ratio("sum(w.revenue) over (ranking rows unbounded preceding)", "sum(w.revenue) over ()")}
+    as cumulative_share,
+  row_number() over ranking as rank
+from (select * from category_parts where part = 7) as w
+join (select category, count(*) filter (where part = 6) as orders,
+        count(*) filter (where part = 3) as distinct_products,
+        count(*) filter (where part = 5) as distinct_sellers
+      from category_parts group by category) as n on n.category = w.category
+window ranking as (order by w.revenue desc, w.category)
+"""
+
+MODELS["earners"] = """
+select dimension, list(revenue order by revenue desc, entity) as revenues
+from (select case grouping(seller_id) when 0 then 'sellers' else 'categories' end as dimension,
+        coalesce(cast(seller_id as varchar), category) as entity, sum(product_revenue) as revenue
+      from sold_items group by grouping sets ((seller_id), (category)))
+group by dimension
+"""
+
+MODELS["tier_members"] = """
+select dimension, revenues, len(revenues) as entities_total, unnest(['Top 10', 'Top 1%', 'Top 10%', 'Rest'])
+    as tier,
+  unnest([revenues[:a], revenues[a + 1:b], revenues[b + 1:c], revenues[c + 1:]]) as members
+from (select *, greatest(b, cast(ceil(len(revenues) * cast(0.10 as double)) as bigint)) as c
+      from (select *, greatest(a, cast(ceil(len(revenues) * cast(0.01 as double)) as bigint)) as b
+            from (select *, least(10, len(revenues)) as a from earners)))
 """
 
 MODELS["revenue_concentration"] = f"""
-select dimension, tier, max(entities_total) as entities_total, count(*) as entities_in_tier,
-  cast(sum(revenue) as decimal(28,2)) as revenue,
-  {ratio("sum(revenue)", "max(all_revenue)")} as revenue_share
-from tiered_entities group by dimension, tier
+select dimension, tier, entities_total, len(members) as entities_in_tier,
+  cast(list_sum(members) as {MONEY}) as revenue,
+  {ratio("list_sum(members)", "list_sum(revenues)")} as revenue_share
+from tier_members where len(members) > 0
 """
 
 MODELS["distant_orders"] = """
-select order_id, max(distance_km) as distance_km, sum(freight) as freight,
-  any_value(delivery_days) as delivery_days, any_value(is_on_time) as is_on_time,
-  any_value(order_score) as order_score
-from sold_items where distance_km is not null group by order_id
+select far.distance_km, far.freight, delivery_days, is_on_time, review_score as order_score
+from sold_orders join (
+  select order_id, max(distance_km) as distance_km,
+    sum(freight) filter (where distance_km is not null) as freight
+  from fact_order_items group by order_id) as far using (order_id)
+where far.distance_km is not null
 """
 
 MODELS["distance_vs_delivery"] = f"""
@@ -414,17 +409,12 @@ select order_status, count(*) as orders,
 from fact_orders group by order_status
 """
 
-MODELS["scored_baskets"] = """
-select distinct f.order_id, i.category, f.review_score
-from sold_items i join sold_orders f on f.order_id = i.order_id
-where f.review_score is not null
-"""
-
 MODELS["score_by_category"] = f"""
-select category, count(*) as reviewed_orders, {avg("review_score", 2)} as avg_score,
-  count(*) filter (where review_score >= 4) as positive,
-  count(*) filter (where review_score <= 2) as negative, count(*) >= 100 as is_significant
-from scored_baskets group by category
+select category, count(score) as reviewed_orders, {avg("score", 2)} as avg_score,
+  count(*) filter (where score >= 4) as positive, count(*) filter (where score <= 2) as negative,
+  count(score) >= 100 as is_significant
+from (select category, max(order_score) as score from sold_items group by category, order_id)
+group by category having count(score) > 0
 """
 
 MODELS["freight_erosion"] = f"""
@@ -436,48 +426,46 @@ select category, weight_bucket, count(*) as items,
 from sold_items where billable_weight_g is not null group by category, weight_bucket
 """
 
-MODELS["seller_income"] = f"""
-select seller_id, count(distinct order_id) as orders,
-  cast(sum(product_revenue) as decimal(28,2)) as product_revenue,
-  {avg("product_revenue", 2)} as avg_item_price
-from sold_items group by seller_id
+MODELS["seller_baskets"] = """
+select seller_id, order_id, bool_or(is_delivered) as sold,
+  bool_or(order_status in ('canceled', 'unavailable')) as cancelled,
+  sum(product_revenue) as revenue, count(product_revenue) as priced,
+  max(delivery_days) as delivery_days, bool_or(is_on_time) as on_time, max(order_score) as score
+from fact_order_items group by seller_id, order_id
 """
 
-MODELS["seller_quality"] = f"""
-select seller_id, {avg("delivery_days", 1)} as avg_delivery_days,
-  {ratio("count(*) filter (where not is_on_time)", "count(*)")} as late_rate,
-  {avg("order_score", 2)} as avg_score
-from (select distinct seller_id, order_id, is_on_time, delivery_days, order_score from sold_items)
-group by seller_id
-"""
 
-MODELS["seller_cancellations"] = f"""
-select seller_id, count(distinct order_id) as orders_all_status,
-  {ratio("count(distinct case when order_status in ('canceled', 'unavailable') then order_id end)",
-         "count(distinct order_id)")} as cancel_rate
-from fact_order_items group by seller_id
-"""
+def when_sold(column: str) -> str:
+    return f"case when sold then {column} end"
 
-MODELS["seller_scorecard"] = """
-select seller_id, city, state, orders, product_revenue, avg_item_price, avg_delivery_days,
-  late_rate, avg_score, orders_all_status, cancel_rate, orders >= 20 as is_significant
-from seller_income join dim_sellers using (seller_id)
-left join seller_quality using (seller_id) left join seller_cancellations using (seller_id)
+
+MODELS["seller_scorecard"] = f"""
+select seller_id, city, state, count(*) filter (where sold) as orders,
+  cast(sum({when_sold("revenue")}) as {MONEY}) as product_revenue,
+  {ratio(f'sum({when_sold("revenue")})', f'sum({when_sold("priced")})', 2)} as avg_item_price,
+  {avg(when_sold("delivery_days"), 1)} as avg_delivery_days,
+  {ratio("count_if(sold and not on_time)", "count_if(sold)")} as late_rate,
+  {avg(when_sold("score"), 2)} as avg_score, count(*) as orders_all_status,
+  {ratio("count_if(cancelled)", "count(*)")} as cancel_rate, count_if(sold) >= 20 as is_significant
+from seller_baskets join dim_sellers using (seller_id)
+group by seller_id, city, state having bool_or(sold)
 """
 
-MODELS["sold_payments"] = """
-select p.* from stg_payments p join sold_orders f on f.order_id = p.order_id
+MODELS["order_methods"] = """
+select payment_type, order_id, sum(payment_value) as volume, count(payment_value) as valued,
+  sum(installments) as installments, count(installments) as planned,
+  count_if(installments > 1) as in_installments
+from stg_payments semi join sold_orders using (order_id) group by payment_type, order_id
 """
 
 MODELS["payment_method_mix"] = f"""
-select payment_type, count(distinct order_id) as orders,
-  {ratio("count(distinct order_id)", "(select count(distinct order_id) from sold_payments)")}
-    as order_share,
-  cast(sum(payment_value) as decimal(28,2)) as paid_volume,
-  {avg("payment_value", 2)} as avg_transaction,
-  case when payment_type = 'credit_card' then {avg("installments", 1)} end as avg_installments,
-  count(*) filter (where installments > 1) as payments_in_installments
-from sold_payments group by payment_type
+select payment_type, count(*) as orders,
+  {ratio("count(*)", "(select count(distinct order_id) from order_methods)")} as order_share,
+  cast(sum(volume) as {MONEY}) as paid_volume, {ratio("sum(volume)", "sum(valued)", 2)} as avg_transaction,
+  case payment_type when 'credit_card' then {ratio("sum(installments)", "sum(planned)", 1)} end
+    as avg_installments,
+  cast(sum(in_installments) as bigint) as payments_in_installments
+from order_methods group by payment_type
 """
 
 
@@ -502,27 +490,26 @@ select customer_state as state, count(*) as orders, {avg("paid_value", 2)} as av
 from sold_orders group by customer_state
 """
 
+_SOLD = "filter (where is_delivered)"
+
+
+def if_sold(column: str) -> str:
+    return f"case when is_delivered then {column} end"
+
+
 MODELS["executive_summary"] = f"""
-select min(purchase_date) as date_from, max(purchase_date) as date_to,
-  count(*) as delivered_orders, count(distinct customer_uid) as unique_customers,
-  cast(sum(product_revenue) as decimal(28,2)) as product_revenue,
-  cast(sum(freight) as decimal(28,2)) as freight_total,
-  cast(sum(paid_value) as decimal(28,2)) as gmv,
-  {ratio("sum(product_revenue)", "count(*)", 2)} as product_ticket,
-  {ratio("sum(paid_value)", "count(*)", 2)} as paid_ticket,
-  {ratio("count(*) filter (where is_on_time)",
-         "count(*) filter (where delivered_at is not null and promised_at is not null)")}
-    as on_time_rate,
-  quantile_disc(delivery_days, 0.9) as delivery_p90,
-  {rnd("avg(date_diff('day', cast(delivered_at as date), cast(promised_at as date)))", 1)}
-    as promise_cushion_days,
-  {avg("review_score", 2)} as avg_score,
-  (select {ratio("count(*) filter (where is_on_time)", "count(*)")} from fact_orders
-   where order_status not in ('created', 'approved', 'invoiced', 'processing'))
-    as on_time_rate_global,
-  (select {ratio("count(*) filter (where segment = 'recurrent')", "count(*)")} from dim_customers)
-    as recurrent_rate,
-  (select {ratio("count(*) filter (where is_cancelled)", "count(*)")} from fact_orders)
-    as cancel_rate
-from sold_orders
+select min(purchase_date) {_SOLD} as date_from, max(purchase_date) {_SOLD} as date_to,
+  count(*) {_SOLD} as delivered_orders,
+  count(distinct customer_uid) {_SOLD} as unique_customers, {sales("is_delivered")},
+  {ratio(f"sum(product_revenue) {_SOLD}", "count_if(is_delivered)", 2)} as product_ticket,
+  {ratio(f"sum(paid_value) {_SOLD}", "count_if(is_delivered)", 2)} as paid_ticket,
+  {ratio("count_if(is_delivered and is_on_time)", f"count(is_on_time) {_SOLD}")} as on_time_rate,
+  quantile_disc(delivery_days, 0.9) {_SOLD} as delivery_p90,
+  {avg(if_sold("-days_vs_promise"), 1)} as promise_cushion_days,
+  {avg(if_sold("review_score"), 2)} as avg_score,
+  {ratio("count_if(is_on_time and left_seller)", "count_if(left_seller)")} as on_time_rate_global,
+  (select {ratio("count_if(segment = 'recurrent')", "count(*)")} from dim_customers) as recurrent_rate,
+  {ratio("count_if(is_cancelled)", "count(*)")} as cancel_rate
+from (select *, order_status not in ('created', 'approved', 'invoiced', 'processing') as left_seller
+      from fact_orders)
 """

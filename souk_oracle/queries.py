@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from souk_oracle.models import MODELS, avg, ratio, rnd, take_rate_figures
+from souk_oracle.models import MODELS, avg, ratio, rnd, sales, take_rate_figures
 
 QUESTIONS: dict[str, str] = {}
 
@@ -44,8 +44,8 @@ select min(rank) filter (where cumulative_share >= 0.8) as categories_to_80pct,
 """
 
 QUESTIONS["concentration_headline"] = f"""
-with shares as (select dimension, tier, sum(revenue) as revenue, max(all_revenue) as all_revenue
-                from tiered_entities group by all)
+with shares as (select dimension, tier, list_sum(members) as revenue,
+                  list_sum(revenues) as all_revenue from tier_members)
 select
   (select {ratio("sum(revenue)", "max(all_revenue)")} from shares
    where dimension = 'categories' and tier = 'Top 10') as top10_category_share,
@@ -151,6 +151,34 @@ select delivered_orders, unique_customers,
 from executive_summary
 """
 
+QUESTIONS["sales_by_state"] = f"""
+select customer_state as state, count(*) as orders, {sales()} from sold_orders group by all
+"""
+
+QUESTIONS["promise_vs_actual"] = f"""
+select customer_state as state, count(*) as orders,
+  {avg("promised_at::date - purchase_date", 1)} as avg_promised_days,
+  {avg("delivered_at::date - purchase_date", 1)} as avg_actual_days
+from sold_orders where delivered_at is not null and promised_at is not null group by customer_state
+"""
+
+QUESTIONS["orders_by_method_count"] = """
+select methods, count(*) as orders
+from (select count(*) as methods from order_methods group by order_id) group by methods
+"""
+
+QUESTIONS["take_rate_override"] = f"""
+select month, orders, gmv, product_revenue, cast(0.18 as double) as assumed_commission,
+  cast(0.025 as double) as assumed_fee,
+  {take_rate_figures("cast(0.18 as decimal(6,4))", "cast(0.025 as decimal(6,4))")}
+from months
+"""
+
+QUESTIONS["view_statement"] = """
+select segment, state, count(*) as customers, cast(sum(paid_total) as decimal(38,2)) as paid
+from dim_customers group by segment, state
+"""
+
 CHECKS: dict[str, str] = {}
 
 CHECKS["dq_unique"] = """
@@ -158,15 +186,15 @@ select 'customer_uid' as "column", cast(customer_uid as varchar) as value, count
 from stg_customers group by customer_uid having count(*) > 1
 """
 
-_NULLABLE = [
-    "approved_at", "shipped_at", "delivered_at", "promised_at", "item_count", "product_revenue",
-    "paid_value", "max_installments", "approval_days", "transit_days", "delivery_days",
-    "is_on_time", "review_score", "review_count", "order_id", "customer_uid",
-]
+_ORDER_COLUMNS = """order_id customer_id customer_uid customer_state customer_city order_status
+purchase_date purchase_month approved_at shipped_at delivered_at promised_at item_count seller_count
+product_revenue freight paid_value paid_imputed max_installments approval_days handling_days
+transit_days delivery_days days_vs_promise is_on_time is_delivered is_cancelled review_score
+review_count""".split()
 CHECKS["dq_not_null"] = "select * from (" + " union all ".join(
     f"""select '{c}' as "column", cast(null as varchar) as value,
     count(*) filter (where {c} is null) as failures from fact_orders"""
-    for c in _NULLABLE
+    for c in _ORDER_COLUMNS
 ) + ") where failures > 0"
 
 CHECKS["dq_accepted_values"] = """
@@ -197,6 +225,7 @@ CHECKS["dq_one_row_violated"] = """
 select count(*) as rows from sales_by_city having count(*) <> 1
 """
 
+# The rates that must lie between 0 and 1
 _RATES = [
     ("executive_summary", "on_time_rate"),
     ("executive_summary", "on_time_rate_global"),
@@ -224,6 +253,7 @@ select metric, count(*) as figures, count(value) as known, min(value) as lowest,
 from ({_ALL_RATES}) group by metric
 """
 
+# The totals that must agree with the item fact
 _TOTALS = [
     ("sales_by_city", "sales_by_city", "sum(product_revenue)", "revenue"),
     ("monthly_sales", "monthly_sales", "sum(product_revenue)", "revenue"),
@@ -301,16 +331,15 @@ LOADS["loaded_reviews"] = r"""
 select cast(review_id as varchar) as review_id, cast(order_id as varchar) as order_id,
   cast(score as varchar) as review_score, '' as review_comment_title,
   'said "' || message || '",' || chr(10) || 'score ' || cast(score as varchar)
-    as review_comment_message
+    as review_comment_message,
+  cast(created_at as varchar) as review_creation_date,
+  cast(answered_at as varchar) as review_answer_timestamp
 from stg_reviews where review_id % 40 <> 3
 """
 
 LOAD_QUERIES: dict[str, str] = {}
 LOAD_QUERIES["ingest_tolerant"] = "select * from loaded_items"
-LOAD_QUERIES["ingest_strict"] = """
-select review_id, order_id, review_score, review_comment_title, review_comment_message
-from loaded_reviews
-"""
+LOAD_QUERIES["ingest_strict"] = "select * from loaded_reviews"
 LOAD_QUERIES["ingest_quarantine"] = f"""
 select 'raw_order_items' as "table", concat_ws(',', order_id, item_no, product_id, seller_id,
   price, freight, 'surplus') as record
