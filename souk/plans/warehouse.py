@@ -97,6 +97,7 @@ class Warehouse:
         self.built = built
         self.commission = commission
         self.payment_fee = payment_fee
+        self._kept: set[str] = set()
         self._models: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
 
@@ -116,13 +117,19 @@ class Warehouse:
         if name in VIEWS:
             return self[name]
         if name not in self._tables:
+            written = self.built or name in self._kept
             self._tables[name] = (
-                self.store.read(name) if self.built else self.store.replace(self.plan(name), name)
+                self.store.read(name) if written else self.store.replace(self.plan(name), name)
             )
         return self._tables[name]
 
     def build(self, names: list[str] | None = None) -> None:
-        """Write every selected table in full and publish every model as a temp view."""
+        """Write every selected table in full and publish every model as a temp view.
+
+        What a selection reads of other tables comes from the last build where there is one.
+        """
+        if names:
+            self._kept = {name for name in TABLES if name not in names and self.store.has(name)}
         for name in names or list(MODELS):
             self.table(name)
         self.publish(names)

@@ -83,5 +83,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 def delete_at_end(spark: SparkSession, path: str) -> None:
     """Has the path deleted when the application ends."""
+    target, files = _hadoop(spark, path)
+    files.deleteOnExit(target)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, files = _hadoop(spark, path)
+    return files.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target, files = _hadoop(spark, path)
+    files.delete(target, True)
+
+
+def put_in_place(spark: SparkSession, written: str, path: str) -> None:
+    """Has a completely written folder take the place of what the path held."""
+    source, files = _hadoop(spark, written)
+    target, _ = _hadoop(spark, path)
+    delete_path(spark, path)
+    if not files.rename(source, target):
+        raise OSError(f"{written} could not be renamed to {path}")

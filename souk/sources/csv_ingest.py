@@ -133,6 +133,10 @@ def _blocks(lines: DataFrame) -> DataFrame:
     )
 
 
+def lines_table(name: str) -> str:
+    return f"{name}_lines"
+
+
 def record_texts(spark: SparkSession, path: str, store: TableStore, name: str) -> DataFrame:
     """The text of every record, headers and blank lines excluded.
 
@@ -140,7 +144,7 @@ def record_texts(spark: SparkSession, path: str, store: TableStore, name: str) -
     it may begin; a pass over one row per block then tells which way it was, and numbers the
     records. Only lines of records that span several are brought together.
     """
-    lines = store.replace(_lines(spark, path), f"{name}_lines")
+    lines = store.replace(_lines(spark, path), lines_table(name))
     inside = F.col("_inside")
     placed = lines.join(_blocks(lines), _BLOCK).select(
         "_file",
@@ -216,6 +220,7 @@ def ingest(
     """
     records = read_records(spark, path, store, table.name)
     landed = store.replace(classified(records, table.strict), table.name, [OUTCOME])
+    store.drop(lines_table(table.name))
     loaded = F.count_if(F.col(OUTCOME) == LOADED)
     skipped = F.count_if(F.col(OUTCOME) == SKIPPED)
     stats = landed.agg(

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.session import delete_at_end, shared_folder
+from souk.session import (
+    delete_at_end,
+    delete_path,
+    path_exists,
+    put_in_place,
+    shared_folder,
+)
 
 
 class TableStore:
@@ -28,13 +34,24 @@ class TableStore:
         return f"{self.root}/{table}"
 
     def replace(self, df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
-        """Overwrite the table with these rows and return it as read back."""
+        """Replace the table by these rows and return it as read back.
+
+        The rows are written beside the table, which stays until they are complete.
+        """
+        beside = self.path(f"{table}.next")
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(table))
+        writer.parquet(beside)
+        put_in_place(self.spark, beside, self.path(table))
         # The schema is known, so no footer has to be read to infer it.
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
+
+    def has(self, table: str) -> bool:
+        return path_exists(self.spark, self.path(table))
+
+    def drop(self, table: str) -> None:
+        delete_path(self.spark, self.path(table))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from souk.plans.warehouse import Warehouse
 from souk.sources import csv_files
-from souk.sources.csv_ingest import CsvTables, field_count, ingest, read_records
+from souk.sources.csv_ingest import CsvTables, _lines, field_count, ingest, read_records
 from souk.sources.raw_tables import RAW_TABLES, RawTable
 from souk.sources.store import TableStore
 
@@ -101,7 +101,7 @@ def test_records_are_whole_wherever_files_are_split(spark, tmp_path, store, spli
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
         loaded = ingest(spark, str(folder), RawTable("split", ("id",), strict=True), store)
-        blocks = store.read("split_lines").select("_file", "_block").distinct().count()
+        blocks = _lines(spark, str(folder)).select("_file", "_block").distinct().count()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -1,9 +1,10 @@
+import os
 from decimal import Decimal
 
 import pytest
 
 from souk.__main__ import main
-from souk.session import MB, input_bytes, partition_sizes, shared_folder
+from souk.session import CHECKPOINT_DIR, MB, input_bytes, partition_sizes, shared_folder
 from souk.sources import csv_files
 from souk.sources.store import TableStore
 
@@ -23,11 +24,17 @@ def test_load_build_test_and_show(spark, warehouse, tmp_path, capsys):
     assert "not_null stg_order_items price" in out
 
     before = spark.read.parquet(f"{store}/take_rate").selectExpr("sum(commission_income)").first()[0]
+    fact = f"{store}/fact_order_items"
+    files_of_fact = sorted(os.listdir(fact))
     select = ["--select", "take_rate", "--commission", "0.30"]
     assert main(["build", "--store", store, *select], spark) == 0
     after = spark.read.parquet(f"{store}/take_rate").selectExpr("sum(commission_income)").first()[0]
     assert after == pytest.approx(2 * before, abs=Decimal("1.00"))
 
+    assert main(["build", "--store", store, "--select", "freight_erosion"], spark) == 0
+    assert sorted(os.listdir(fact)) == files_of_fact
+    assert not [name for name in os.listdir(store) if name.endswith((".next", "_lines"))]
+
     assert main(["show", "--store", store, "take_rate"], spark) == 0
     assert "effective_rate" in capsys.readouterr().out
 
@@ -44,6 +51,14 @@ def test_replace_overwrites(spark, store):
     assert store.read("t").count() == 2
 
 
+def test_a_failed_write_leaves_the_table(spark, store):
+    store.replace(spark.range(5), "t")
+    with pytest.raises(Exception, match="broken"):
+        store.replace(spark.range(3).selectExpr("raise_error('broken') as id"), "t")
+    assert store.read("t").count() == 5
+    assert store.replace(store.read("t").where("id < 2"), "t").count() == 2
+
+
 def test_written_folders_come_from_the_session(spark):
     folder = shared_folder(spark)
     assert folder == spark.conf.get(CHECKPOINT_DIR)
