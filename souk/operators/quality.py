@@ -145,3 +145,20 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
         odd = [frames[-1]] if len(frames) % 2 else []
         frames = [a.union(b) for a, b in pairs] + odd
     return frames[0]
+
+
+def orphan_counts(children: list[DataFrame], parent: DataFrame, key: str) -> DataFrame:
+    """Rows of each child whose reference has no parent, for all children in one join.
+
+    A child is a frame of (model, columns, value). Equal references are counted before the
+    join, so a hot one is a single row. A child without rows has no result.
+    """
+    references = (
+        union_all(children).groupBy("model", "columns", "value").agg(rows().alias("references"))
+    )
+    known = parent.select(column(key).alias("value")).where("value is not null").distinct()
+    found = references.join(known.withColumn("_found", F.lit(True)), "value", "left")
+    orphan = F.col("_found").isNull() & F.col("value").isNotNull()
+    return found.groupBy("model", "columns").agg(
+        F.sum(F.when(orphan, F.col("references")).otherwise(0)).alias("failures")
+    )

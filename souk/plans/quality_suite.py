@@ -310,8 +310,8 @@ def _failing_rows(failing: DataFrame) -> DataFrame:
 def model_report(w: Warehouse, model: str) -> list[DataFrame]:
     """One row per check declared for the model: (check, model, columns, failures).
 
-    Failures are rows with a NULL, rows with a value outside its list, values or key tuples
-    that repeat, and rows whose key has no parent. The first two kinds share one pass.
+    Failures are rows with a NULL, rows with a value outside its list, and values or key tuples
+    that repeat. The first two kinds share one pass. References are in `references_report`.
     """
     df, checks = w[model], DECLARED[model]
     by_row = {("not_null", c): quality.column(c).isNull() for c in checks.not_null}
@@ -325,10 +325,6 @@ def model_report(w: Warehouse, model: str) -> list[DataFrame]:
         reports.append(counts.select(*named))
     for c in checks.unique:
         reports.append(_report("unique", model, c, _failing_rows(quality.unique(df, c))))
-    for c, (parent, key) in checks.relationships.items():
-        failing = quality.relationships(df, c, w[parent], key)
-        orphans = failing.agg(F.coalesce(F.sum("failures"), F.lit(0)).alias("failures"))
-        reports.append(_report("relationships", model, c, orphans))
     for columns in checks.combinations:
         failing = quality.unique_combination(df, columns)
         name = "unique_combination"
@@ -336,12 +332,39 @@ def model_report(w: Warehouse, model: str) -> list[DataFrame]:
     return reports
 
 
+def references_report(w: Warehouse) -> list[DataFrame]:
+    """Rows whose key has no parent, as above. All references to one key share one join."""
+    children: dict[tuple[str, str], list[DataFrame]] = {}
+    declared = []
+    for model, checks in DECLARED.items():
+        for c, reference in checks.relationships.items():
+            declared.append((model, c))
+            tagged = w[model].select(
+                F.lit(model).alias("model"), F.lit(c).alias("columns"), quality.column(c).alias("value")
+            )
+            children.setdefault(reference, []).append(tagged)
+    # A model without rows has no failures either.
+    none = w.spark.createDataFrame(declared, "model string, columns string").withColumn(
+        "failures", F.lit(0).cast("long")
+    )
+    counts = [
+        quality.orphan_counts(frames, w[parent], key) for (parent, key), frames in children.items()
+    ]
+    failures = quality.union_all([none, *counts]).groupBy("model", "columns")
+    return [
+        failures.agg(F.sum("failures").alias("failures")).select(
+            F.lit("relationships").alias("check"), "model", "columns", "failures"
+        )
+    ]
+
+
 def suite_report(w: Warehouse) -> DataFrame:
     """Every declared check with its number of failures. Builds and reads the written tables,
     so that no mart is derived once per check."""
     for model in DECLARED:
         w.table(model)
     reports = [report for model in DECLARED for report in model_report(w, model)]
+    reports += references_report(w)
     singles = [
         ("one_row", "executive_summary", "", one_row(w)),
         ("rates_in_range", "", "", rates_in_range(w)),
