@@ -13,7 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has the columns u and v. Each round hangs the larger neighbours of a node, then
     the smaller ones, on the least of them, which halves distances; every round is a written
-    table. A node's neighbours are reduced by a minimum and joined back, never gathered.
+    table. A node's neighbours are reduced by a minimum and joined back, never gathered. Minima
+    are written first: Spark splits a hot node's rows only in a join of plain shuffled tables.
     Loops and repeated edges don't matter; null ends are ignored; no edges, no rows.
     """
     links = edges.where("u is not null and v is not null and u <> v")
@@ -23,10 +24,12 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Larger neighbours go to the least of the neighbourhood.
         around = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = common.written(least, "least")
         large = around.where("v > u").join(least, "u").select("v", F.col("m").alias("u"))
+        large = common.written(large, "large")
         # Smaller neighbours and the node itself go to the least of them.
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
+        least = common.written(large.groupBy("v").agg(F.min("u").alias("m")), "least")
         small = large.join(least, "v").where("u <> m").select(
             F.col("u").alias("v"), F.col("m").alias("u")
         )
