@@ -106,6 +106,8 @@ CELL = ["places", "bytes", "low", "high"]
 def cells(listed: DataFrame) -> DataFrame:
     """Rows of lists with two fingerprints or more; long lists in pairs of chunks."""
     sizes = listed.groupBy("places", "bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that Spark can split a long list's rows in the join.
+    sizes = common.written(sizes, "sizes")
     rows = listed.join(sizes, ["places", "bytes"])
     chunks = F.ceil(F.col("n") / CHUNK)
     own = F.pmod(F.xxhash64("fp"), chunks)
@@ -201,6 +203,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         roots.select(F.col("node").alias("fp"), "root"), "fp", "left"
     ).withColumn("root", F.coalesce("root", "fp"))
     least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = common.written(least, "least")
     of_print = classes.join(least, "root").select("fp", "component_id")
     return prints.join(of_print, "fp").select(
         F.col("id").alias(id_column),
