@@ -250,7 +250,8 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
     found = common.written(_compared(rows, ["key"], CHUNK), "meetings")
     pairs = found.where("b is not null").select("a", "b")
     long = found.where("b is null").select("key", F.col("a").alias("line"), "total", "listed")
-    sizes = long.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    # Written, so that Spark can split a long list's rows in the join.
+    sizes = common.written(long.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
     chunks = F.ceil(F.col("n") / CHUNK)
     own = F.pmod(F.xxhash64("line"), chunks)
     dealt = (
@@ -381,7 +382,7 @@ def duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
     # Lines that occur once and are like no other need no further look.
     first = common.written(first.where("n > 1 or root is not null"), "repeated")
     first = first.withColumn("root", F.coalesce("root", "line"))
-    stays = first.groupBy("root").agg(F.min("first").alias("stays"))
+    stays = common.written(first.groupBy("root").agg(F.min("first").alias("stays")), "stays")
     of_line = first.select("line", "root").join(stays, "root").select("line", "stays")
     gone = lines.join(of_line, "line").where(~place.eqNullSafe(F.col("stays")))
     return gone.groupBy("id", "digest").agg(
