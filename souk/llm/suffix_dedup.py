@@ -331,7 +331,8 @@ def repeated(pieces: DataFrame, size: int = CELL) -> DataFrame:
         groups = distinct.groupBy("key").agg(
             F.count(F.lit(1)).alias("different"), F.min("times").alias("least")
         )
-        wanted = distinct.join(groups.where("different > 1 and least = 1"), "key").select(
+        groups = common.written(groups.where("different > 1 and least = 1"), "groups")
+        wanted = distinct.join(groups, "key").select(
             "key", "part", "one.*", (F.col("different") > MOST_STRETCHES).alias("more")
         )
         own = many.drop("n", "many").join(wanted, ["anchor", "stretch"])
@@ -412,7 +413,9 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     anchors = distinct.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("different"), F.min("times").alias("least")
     )
-    anchors = anchors.where("different > 1 and least = 1")
+    # Groups are written before they are joined to their rows: Spark splits the rows of a hot
+    # one only in a join of plain shuffled tables.
+    anchors = common.written(anchors.where("different > 1 and least = 1"), "anchors")
     wanted = distinct.join(anchors, "anchor").select(
         "one.*", "anchor", "stretch", (F.col("different") > MOST_STRETCHES).alias("many")
     )
@@ -424,6 +427,7 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     found = whole.unionByName(found).groupBy("anchor", "stretch").agg(
         F.collect_list(F.struct("at", "number")).alias("ranges")
     )
+    found = common.written(found, "found")
     spans = every.join(found, ["anchor", "stretch"]).select(
         "id", "digest", "lo", F.inline("ranges")
     )
