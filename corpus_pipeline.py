@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without near-duplicate lines; n_chars follows the text."""
-    left = line_dedup.apply(docs)
+    """Documents without repeated or near-duplicate lines; n_chars follows the text."""
+    left = line_dedup.apply(docs, short=True)
     if "n_chars" not in docs.columns:
         return left
     length = F.coalesce(F.char_length("text").cast("long"), F.col("n_chars"))

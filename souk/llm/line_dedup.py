@@ -2,7 +2,8 @@
 
 Lines of ``MIN_CHARS`` code points or more whose edit distance is at most ``EDITS`` are linked;
 of each connected class, the line that comes first by (doc_id, hash of the text, line number)
-stays in its document and all others go.
+stays in its document and all others go. In shorter lines so few edits can make another line;
+with ``short``, as the query and the pipeline have it, those are judged by equality.
 
 A line is cut into ``EDITS`` + 1 segments. At most ``EDITS`` edits leave one of them whole, at a
 place in the other line that differs by few characters. So the index lists a line under each of
@@ -17,7 +18,8 @@ is verified on the texts by a bit-parallel comparison within the band of ``EDITS
 A list is compared in chunks: rows of a list longer than ``CHUNK`` are dealt to cells that hold
 two chunks each, so no task holds a whole long list.
 
-Null and empty texts have no lines that count; short lines are never judged, and always stay.
+Null and empty texts have no lines that count; short lines of white space only
+always stay, and without ``short`` all short lines.
 Rows that repeat an id and a text are one document and keep or lose the same lines. A null id
 comes before all others. Other columns pass through ``apply``.
 """
@@ -35,11 +37,14 @@ from pyspark.sql import functions as F
 from souk.llm import common
 from souk.llm.components import components
 
+# Code points of a line from which few edits link it to another
 MIN_CHARS = 40
 EDITS = 2
 CHUNK = 2048
 # Classes of characters whose numbers are summed
 CLASSES = 16
+# In a line or text with a word
+WORD = r"[^\x20\x09-\x0D]"
 # Pairs of characters that are compared at once
 CELLS = 1 << 21
 # Lines whose keys a task remembers to have sent
@@ -362,7 +367,9 @@ def links(docs: DataFrame, text: str) -> DataFrame:
     return near.select(_line_id("x").alias("u"), _line_id("y").alias("v")).distinct()
 
 
-def duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", short: bool = False
+) -> DataFrame:
     """(id, digest, removed) of documents that lose lines; removed has their numbers from 0.
 
     digest is the hash of the text by which rows of one id are told apart.
@@ -372,7 +379,7 @@ def duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
         F.col(id_column).alias("id"),
         F.xxhash64(text).alias("digest"),
         F.posexplode(F.split(text, "\n")).alias("number", "value"),
-    ).where(F.char_length("value") >= MIN_CHARS)
+    ).where((F.char_length("value") >= MIN_CHARS) | (F.col("value").rlike(WORD) & F.lit(short)))
     lines = common.written(
         lines.select("id", "digest", "number", _line_id("value").alias("line")), "lines"
     )
@@ -390,9 +397,11 @@ def duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
     )
 
 
-def judged(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def judged(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", short: bool = False
+) -> DataFrame:
     """(id, n_lines, n_removed, removed) of every row; texts stay where they are."""
-    found = duplicates(docs, id_column, text)
+    found = duplicates(docs, id_column, text, short)
     rows = docs.select(
         F.col(id_column).alias("id"),
         F.xxhash64(text).alias("digest"),
@@ -411,9 +420,11 @@ def _same(left: DataFrame, right: DataFrame) -> Column:
     return (left["digest"] == right["digest"]) & left["id"].eqNullSafe(right["id"])
 
 
-def apply(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def apply(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", short: bool = False
+) -> DataFrame:
     """The documents without the lines that go; a document that loses all its words goes."""
-    found = duplicates(docs, id_column, text)
+    found = duplicates(docs, id_column, text, short)
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.col(id_column).alias("id"),
@@ -424,7 +435,7 @@ def apply(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
     kept = F.filter(F.split("whole", "\n"), lambda _, i: ~F.array_contains("removed", i))
     left = F.when(F.col("removed").isNull(), F.col("whole")).otherwise(F.array_join(kept, "\n"))
     rows = rows.select("row", "removed", left.alias("left"))
-    emptied = F.col("removed").isNotNull() & ~F.col("left").rlike(r"[^\x20\x09-\x0D]")
+    emptied = F.col("removed").isNotNull() & ~F.col("left").rlike(WORD)
     columns = [
         F.col("left").alias(name) if name == text else F.col("row")[name].alias(name)
         for name in docs.columns

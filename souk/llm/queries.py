@@ -35,7 +35,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.judged(table(spark, sf_dir, "documents"))
+    return line_dedup.judged(table(spark, sf_dir, "documents"), short=True)
 
 
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
