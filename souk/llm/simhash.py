@@ -213,10 +213,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those that a document of smaller id stands for.
+    """One document of each component: the one of the least id, then the least hash of its text.
 
-    Rows that repeat an id are one document: all of them stay or go.
+    A null id comes last. Of rows that repeat an id and a text, the one stays whose other columns
+    come first as JSON.
     """
-    found = near_duplicates(docs, id_column, text)
-    gone = found.where(~F.col(id_column).eqNullSafe(F.col("component_id")))
-    return docs.join(gone.select(id_column).distinct(), id_column, "left_anti")
+    id_ = F.col(id_column)
+    own = F.struct(
+        id_.isNull().alias("none"), id_.alias("id"), F.xxhash64(text).alias("digest")
+    )
+    found = near_duplicates(docs.select(own.alias(id_column), text), id_column, text)
+    stays = found.where(F.col(id_column).eqNullSafe(F.col("component_id")))
+    stays = stays.groupBy(F.col("component_id").alias("own")).agg(F.count(F.lit(1)).alias("n"))
+    # Written, so that Spark can split the rows of a document that repeats in the join.
+    stays = common.written(stays, "stays")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), own.alias("own")).join(stays, "own")
+    others = [F.col("row")[name].alias(name) for name in docs.columns if name != text]
+    first = F.min_by("row", F.to_json(F.struct(*others))).alias("row")
+    alike = rows.where("n > 1").groupBy("own").agg(first)
+    rows = rows.where("n = 1").select("row").unionByName(alike.select("row"))
+    return rows.select("row.*")

@@ -67,6 +67,21 @@ def test_simhash_odd_rows(docs, empty):
     assert kept.columns == docs.columns and kept.where("doc_id = 4").count() == 1
 
 
+def test_one_of_each_group_stays_whatever_the_ids(spark):
+    def text(seed):
+        return " ".join(random.Random(seed).choices("abcdefghijklmnop", k=200))
+
+    rows = [(None, text(1), "x"), (None, text(1), "y"), (1, text(1), "z"), (1, text(2), "own")]
+    rows += [(None, text(3), "b"), (None, text(3), "a"), (None, text(4), "c")]
+    rows += [(5, text(5), "e")] * 30 + [(5, text(5), "d"), (6, text(5), "f"), (5, text(6), None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = simhash.keep_one(table)
+    want = [(1, text(1), "z"), (1, text(2), "own"), (None, text(3), "a"), (None, text(4), "c")]
+    want += [(5, text(5), "d"), (5, text(6), None)]
+    assert left.columns == table.columns
+    assert sorted(map(repr, map(tuple, left.collect()))) == sorted(map(repr, want))
+
+
 def edits(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
