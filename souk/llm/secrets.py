@@ -3,9 +3,9 @@
 Patterns are searched in the UTF-8 bytes: assigned values, access keys and hexadecimal strings.
 Beyond them, each string of ``MIN_NOVEL`` or more key characters that has letters and digits and
 follows a sensitive word on its line is a candidate. A compressor is primed with a dictionary of
-common identifiers and the text around the candidate. The bytes that the candidate adds to
-compressed text are its novelty; those that add nearly all of their length (``MIN_NOVELTY``)
-share nothing with names or text nearby and are reported as kind "novel".
+common identifiers and the text around the candidate. The bytes that the candidate adds to compressed text are its novelty; those that
+add nearly all of their length (``MIN_NOVELTY``) share nothing with names or text nearby and are
+reported as kind "novel".
 
 Spans are in code points, end exclusive. Null or empty texts have none. Repeated rows are
 scanned alike, each on its own; texts are scanned whole. Other columns are left out, but for
@@ -15,6 +15,7 @@ those named.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,9 +38,12 @@ ASSIGN_PARTS = (b"passw", b"secret", b"token", b"api")
 
 MIN_NOVEL = 16
 MIN_NOVELTY = 0.9
-# Bytes around a candidate that prime the compressor, and in which a sensitive word counts
+# Bytes around a candidate that prime the compressor
 AROUND = 1024
-BEFORE = 48
+# Bytes that zstandard never entropy-codes, so that random ones cost their length
+PIECE = 63
+# Bytes of the header of a compressed block
+HEADER = 3
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % MIN_NOVEL)
 DIGIT = re.compile(rb"[0-9]")
 LETTER = re.compile(rb"[A-Za-z]")
@@ -78,13 +82,27 @@ Span = tuple[str, int, int]
 
 
 def novelty(candidate: bytes, around: bytes) -> float:
-    """Bytes that the candidate adds to compressed text, as a share of its own."""
+    """Bytes that the candidate adds to compressed text, as a share of its own.
+
+    A long candidate is measured in pieces, each after the ones before it: as a whole, random
+    characters of a small alphabet would be entropy-coded and fall short of their length.
+    """
     primed = zstandard.ZstdCompressionDict(
         IDENTIFIERS + b"\n" + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT
     )
     compressor = zstandard.ZstdCompressor(
         level=3, dict_data=primed, write_content_size=False, write_dict_id=False
     )
+    if len(candidate) >= PIECE:
+        stream = compressor.compressobj(size=len(candidate) + 1)
+        stream.compress(b" ")
+        stream.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK)
+        added = 0
+        for at in range(0, len(candidate), PIECE):
+            out = stream.compress(candidate[at : at + PIECE])
+            out += stream.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK)
+            added += len(out) - HEADER
+        return added / len(candidate)
     without, with_it = compressor.compress(b" "), compressor.compress(b" " + candidate)
     return (len(with_it) - len(without)) / len(candidate)
 
@@ -105,18 +123,35 @@ def base_spans(raw: bytes) -> list[Span]:
     return found
 
 
+def contexts(raw: bytes) -> list[tuple[int, int]]:
+    """On each line with a sensitive word, the place after the first one and the line's end."""
+    found, at = [], 0
+    while match := SENSITIVE.search(raw, at):
+        at = raw.find(b"\n", match.end())
+        at = len(raw) if at < 0 else at
+        found.append((match.end(), at))
+    return found
+
+
 def novel_spans(raw: bytes, taken: list[Span]) -> list[Span]:
     """Incompressible strings in a sensitive context that no pattern found, in bytes."""
     found: list[Span] = []
     if not DIGIT.search(raw):
         return found
+    lines: list[tuple[int, int]] | None = None
+
+    def sensitive(place: int) -> bool:
+        line = bisect_right(lines, (place, len(raw))) - 1
+        return line >= 0 and place <= lines[line][1]
+
     for match in CANDIDATE.finditer(raw):
         start, end = match.span()
         text = match.group()
         if not (DIGIT.search(text) and LETTER.search(text)):
             continue
-        before = raw[max(0, start - BEFORE) : start].rpartition(b"\n")[2]
-        if not SENSITIVE.search(before):
+        if lines is None:
+            lines = contexts(raw)
+        if not sensitive(start):
             continue
         if any(a < end and start < b for _, a, b in taken):
             continue

@@ -170,6 +170,31 @@ def test_novel_secrets_need_context_and_novelty():
     assert secrets.scan(known.encode()) == []
 
 
+@pytest.mark.parametrize(
+    "alphabet", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123), 43, 47]))]
+)
+@pytest.mark.parametrize("size", [40, 62, 63, 64, 65, 100, 127, 400, 3000])
+def test_long_random_strings_are_novel(alphabet, size):
+    rng = random.Random(size)
+    for _ in range(50):
+        strange = "A1" + "".join(rng.choices(alphabet, k=size - 2))
+        # Long runs of digits are hexadecimal strings of the fixed patterns.
+        strange = re.sub("[0-9]{15}", lambda run: run[0][:-1] + "G", strange)
+        text = f"private cert is {strange}"
+        assert secrets.scan(text.encode()) == [("novel", 16, 16 + size)]
+        twice = (strange[:18] * size)[:size]
+        assert secrets.scan(f"private cert is {twice}".encode()) == []
+
+
+def test_a_sensitive_word_counts_for_the_whole_line():
+    rng = random.Random(8)
+    parts = ["A1" + "".join(rng.choices("GHIJKLMNOPQRSTUVWXYZ23456789", k=40)) for _ in range(3)]
+    text = "bearer is " + ".".join(parts)
+    want = [("novel", text.index(p), text.index(p) + len(p)) for p in parts]
+    assert secrets.scan(text.encode()) == want
+    assert secrets.scan(text.replace(" is ", " is\n").encode()) == []
+
+
 def test_page_text_is_the_article(spark, docs):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     html = {row.page_id: row.html for row in pages.collect()}
