@@ -3,9 +3,10 @@
 Patterns are searched in the UTF-8 bytes: assigned values, access keys and hexadecimal strings.
 Beyond them, each string of ``MIN_NOVEL`` or more key characters that has letters and digits and
 follows a sensitive word on its line is a candidate. A compressor is primed with a dictionary of
-common identifiers and the text around the candidate. The bytes that the candidate adds to compressed text are its novelty; those that
+common identifiers and the text around the candidate, but for its other places that follow a
+sensitive word. The bytes that the candidate adds to compressed text are its novelty; those that
 add nearly all of their length (``MIN_NOVELTY``) share nothing with names or text nearby and are
-reported as kind "novel".
+reported as kind "novel", at all of their sensitive places.
 
 Spans are in code points, end exclusive. Null or empty texts have none. Repeated rows are
 scanned alike, each on its own; texts are scanned whole. Other columns are left out, but for
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -133,6 +134,22 @@ def contexts(raw: bytes) -> list[tuple[int, int]]:
     return found
 
 
+def primer(raw: bytes, start: int, end: int, sensitive: Callable[[int], bool]) -> bytes:
+    """The text around a candidate without the candidate's other places in a sensitive context."""
+    text, parts = raw[start:end], []
+    low, high = max(0, start - AROUND), end + AROUND
+    # Copies may lie across the ends of what primes the compressor.
+    at, place = low, raw.find(text, max(0, low - len(text) + 1), high + len(text))
+    while 0 <= place < high:
+        if place == start or sensitive(place):
+            parts.append(raw[at:place])
+            at = place + len(text)
+            place = raw.find(text, at, high + len(text))
+        else:
+            place = raw.find(text, place + 1, high + len(text))
+    return b"\n".join([*parts, raw[at:high]])
+
+
 def novel_spans(raw: bytes, taken: list[Span]) -> list[Span]:
     """Incompressible strings in a sensitive context that no pattern found, in bytes."""
     found: list[Span] = []
@@ -155,8 +172,7 @@ def novel_spans(raw: bytes, taken: list[Span]) -> list[Span]:
             continue
         if any(a < end and start < b for _, a, b in taken):
             continue
-        around = raw[max(0, start - AROUND) : start] + b"\n" + raw[end : end + AROUND]
-        if novelty(text, around) >= MIN_NOVELTY:
+        if novelty(text, primer(raw, start, end, sensitive)) >= MIN_NOVELTY:
             found.append(("novel", start, end))
     return found
 

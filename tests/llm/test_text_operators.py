@@ -170,6 +170,14 @@ def test_novel_secrets_need_context_and_novelty():
     assert secrets.scan(known.encode()) == []
 
 
+def test_a_repeated_secret_is_reported_at_all_its_sensitive_places():
+    strange = "Zq8Lw3Xv9Tn5Rb2Kj7Hd4"
+    config = f"name: é\nprivate cert is {strange}\nmore\n"
+    for text in (config * 2, config * 3 + "x" * 900 + config, f"cookie {strange}, session {strange}"):
+        want = [("novel", m.start(), m.end()) for m in re.finditer(strange, text)]
+        assert len(want) > 1 and secrets.scan(text.encode()) == want
+
+
 @pytest.mark.parametrize(
     "alphabet", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123), 43, 47]))]
 )
