@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.llm import common
@@ -160,13 +160,57 @@ def write_shards(
 ) -> None:
     """Writes the documents as Parquet, one folder for each shard.
 
-    Documents of one id lie in one shard, unless they are too large together; then they lie in
-    the shard of the first of them.
+    Documents of one id lie in one shard, unless they are too large together; then they are
+    dealt to its shards, to each as many of each size as ``assign`` counts there.
     """
-    placed = assign(docs, id_column, limit=limit).groupBy(id_column).agg(F.min("shard").alias("shard"))
-    same = docs[id_column].eqNullSafe(placed[id_column])
-    rows = docs.join(placed, same).select(docs["*"], "shard")
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    placed = common.written(assign(docs, id_column, limit=limit), "placed")
+    whole = placed.where(F.col("depth") <= BITS).groupBy(F.col(id_column).alias("own_id"))
+    whole = common.written(whole.agg(F.min("shard").alias("shard")), "whole")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(id_column).alias("id"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    out = rows.join(whole, F.col("id").eqNullSafe(F.col("own_id"))).select("row.*", "shard")
+    split = placed.where(F.col("depth") > BITS)
+    if not split.isEmpty():
+        out = out.unionByName(_dealt(rows, split, id_column).select("row.*", "shard"))
+    out.repartition("shard").write.partitionBy("shard").parquet(path)
+
+
+def _dealt(rows: DataFrame, split: DataFrame, id_column: str) -> DataFrame:
+    """(row, shard) of the rows whose ids are split.
+
+    Rows of one id and size are numbered by partition and place in it, so no task sees them
+    all, and a shard takes as many numbers in a row as it has of them.
+    """
+    ids = common.written(split.select(F.col(id_column).alias("own_id")).distinct(), "split_ids")
+    many = rows.join(ids, F.col("id").eqNullSafe(F.col("own_id")), "left_semi")
+    # Written, as the numbers have to stay.
+    many = common.written(
+        many.select("row", F.struct("id", "n_bytes").alias("own"), "at"), "split_rows"
+    ).withColumn("part", F.shiftright("at", 33))
+
+    def spans(counted: DataFrame, by: str, low: str, high: str) -> DataFrame:
+        up_to = Window.partitionBy("own").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+        counted = counted.withColumn(high, F.sum("n").over(up_to))
+        return counted.withColumn(low, F.col(high) - F.col("n")).drop("n")
+
+    n = F.count(F.lit(1)).alias("n")
+    own = F.struct(F.col(id_column).alias("id"), F.col("n_bytes"))
+    parts = spans(many.groupBy("own", "part").agg(n), "part", "low", "high")
+    shards = spans(split.groupBy(own.alias("own"), "shard").agg(n), "shard", "start", "stop")
+    cuts = parts.join(shards, "own").where("start < high and low < stop")
+    cuts = cuts.groupBy("own", "part", "low").agg(
+        F.array_sort(F.collect_list(F.struct("start", "shard"))).alias("cuts")
+    )
+    cuts = common.written(cuts, "cuts")
+    nth = F.row_number().over(Window.partitionBy("own", "part").orderBy("at")) - 1
+    found = many.withColumn("nth", nth).join(cuts, ["own", "part"])
+    number = F.col("low") + F.col("nth")
+    last = F.element_at(F.filter("cuts", lambda cut: cut["start"] <= number), -1)
+    return found.select("row", last["shard"].alias("shard"))
 
 
 ORACLE_SQL = f"""

@@ -197,6 +197,21 @@ def test_shards(spark, docs, corpus, limit):
     assert sharding.assign(docs.limit(0), limit=limit).count() == 0
 
 
+def test_written_shards_are_those_assigned(spark, tmp_path):
+    rows = [(7, "x" * 50)] * 40 + [(7, "y" * 30)] * 25 + [(None, "é" * 20)] * 40 + [(None, None)] * 3
+    rows += [(i, "z" * i) for i in range(10, 30)] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sharding.write_shards(table, str(tmp_path / "out"), limit=400)
+    want = Counter((r["shard"], r.doc_id, r.n_bytes) for r in sharding.assign(table, limit=400).collect())
+    got, back = Counter(), Counter()
+    for folder in (tmp_path / "out").glob("shard=*"):
+        for r in spark.read.parquet(str(folder)).collect():
+            got[folder.name.removeprefix("shard="), r.doc_id, len((r.text or "").encode())] += 1
+            back[tuple(r)] += 1
+    assert got == want and back == Counter(rows)
+    assert any(shard.count("-") and i == 7 for shard, i, _ in got)
+
+
 def covered(rows, size=400):
     times = Counter(t[i : i + size] for _, t in rows for i in range(len(t) - size + 1))
     out = []
