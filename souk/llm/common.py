@@ -53,14 +53,15 @@ def _delete_at_end(spark: SparkSession, path: str):
     return system
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The rows as a table in the cluster's shared folder, deleted when the application ends.
 
-    Later steps read the files, so a lost executor costs a re-read and nothing is computed twice.
+    With ``by``, each value of that column has a folder of its own. Later steps read the files, so a lost executor costs a re-read and nothing is computed twice.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     _delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.llm import (
+    collocations,
     host_rules,
+    language_id,
     line_dedup,
+    merkle,
     page_text,
     piece_codec,
     secrets,
@@ -82,6 +85,19 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predicted(docs, language_id.trained(docs))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -95,6 +111,9 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_winnowing,
         op10_page_text,
+        op11_merkle,
+        op12_language,
+        op13_collocations,
     )
 }
 
@@ -146,4 +165,6 @@ ORACLE_SQL = {
     "op3_host_rules": host_rules.ORACLE_SQL,
     "op4_sharding": sharding.ORACLE_SQL.format(limit=sharding.SHARD_BYTES),
     "op9_winnowing": WINNOWING_SQL,
+    "op11_merkle": merkle.oracle_sql(),
+    "op13_collocations": collocations.ORACLE_SQL,
 }
