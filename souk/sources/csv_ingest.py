@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from souk.functions.expressions import half_up, rows
+from souk.functions.expressions import half_up
 from souk.operators.quality import union_all
 from souk.sources.raw_tables import RAW_TABLES, RawTable
 from souk.sources.store import TableStore
@@ -41,8 +41,14 @@ NA_TOKENS = [
 
 RECORD = "_record"
 OUTCOME = "_outcome"
+# Place of a piece of a record that is too long; 0 for the first, NULL for whole records
+PART = "_part"
 LOADED, SKIPPED = "loaded", "skipped"
 
+# Bytes of a record of several lines. A longer one, as an unclosed quote makes it, is set aside
+# in pieces of this size, so that no task ever holds more.
+RECORD_BYTES = 1 << 20
+
 
 @dataclass(frozen=True)
 class Ingested:
@@ -110,7 +116,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         lines = lines.withColumn(
             f"_record{start}", F.count_if(~F.col(f"_begin{start}")).over(so_far)
         )
-    return lines
+    return lines.withColumn("_bytes", F.sum(F.octet_length(value) + 1).over(so_far))
 
 
 def _blocks(lines: DataFrame) -> DataFrame:
@@ -137,12 +143,21 @@ def lines_table(name: str) -> str:
     return f"{name}_lines"
 
 
+def pieces_table(name: str) -> str:
+    return f"{name}_pieces"
+
+
+def long_table(name: str) -> str:
+    return f"{name}_long"
+
+
 def record_texts(spark: SparkSession, path: str, store: TableStore, name: str) -> DataFrame:
-    """The text of every record, headers and blank lines excluded.
+    """The text of every record, headers and blank lines excluded, and its `_part`.
 
     Files are split whether or not records span lines. Each block is scanned once for both ways
     it may begin; a pass over one row per block then tells which way it was, and numbers the
-    records. Only lines of records that span several are brought together.
+    records. Only lines of records that span several are brought together, up to
+    `RECORD_BYTES`; the text of a longer record stays in pieces.
     """
     lines = store.replace(_lines(spark, path), lines_table(name))
     inside = F.col("_inside")
@@ -156,32 +171,75 @@ def record_texts(spark: SparkSession, path: str, store: TableStore, name: str) -
         (F.col("_before") + F.when(inside, F.col("_record1")).otherwise(F.col("_record0"))).alias(
             "_record"
         ),
+        "_bytes",
     ).where("_record > 1")
     whole = ~F.col("_begin") & ~F.col("_end")
-    parts = F.array_sort(F.collect_list(F.struct("_block", "_line", "value")))
-    joined = (
-        placed.where(~whole)
+    pieces = _pieces(placed.where(~whole), store, name)
+    texts = placed.where(whole).select(F.col("value").alias("text"), F.lit(None).cast("long").alias(PART))
+    texts = texts.unionAll(pieces)
+    return texts.select(F.regexp_replace("text", "\r\\z", "").alias("text"), PART).where(
+        F.trim("text") != ""
+    )
+
+
+def _together(parts: Column) -> Column:
+    """The text of (place, text) parts in order of place."""
+    return F.array_join(F.array_sort(F.collect_list(parts))["text"], "\n").alias("text")
+
+
+def _pieces(lines: DataFrame, store: TableStore, name: str) -> DataFrame:
+    """(text, part) of the records that span lines.
+
+    Lines come together in two steps: those of a record between two multiples of `RECORD_BYTES`
+    of a block, then those pieces, but for records that are too long. Neither step gathers
+    more than that size, whatever the length of a record.
+    """
+    slot = F.floor(F.col("_bytes") / RECORD_BYTES)
+    size = F.octet_length("value") + 1
+    line = F.struct(F.col("_line").alias("place"), F.col("value").alias("text"))
+    pieces = lines.groupBy("_file", "_record", "_block", slot.alias("_slot")).agg(
+        _together(line),
+        # Lines begin in their block, so this is before the place of all in the next.
+        (F.col("_block") + F.min(F.col("_bytes") - size)).alias("_place"),
+        F.sum(size).alias("_size"),
+    )
+    pieces = store.replace(pieces.drop("_block", "_slot"), pieces_table(name))
+    sizes = pieces.groupBy("_file", "_record").agg(
+        F.sum("_size").alias("_total"), F.min("_place").alias("_first")
+    )
+    # Written, as Spark splits the pieces of a very long record only between plain tables.
+    too_long = store.replace(sizes.where(F.col("_total") > RECORD_BYTES).drop("_total"), long_table(name))
+    marked = pieces.join(too_long, ["_file", "_record"], "left")
+    short = (
+        marked.where("_first is null")
         .groupBy("_file", "_record")
-        .agg(F.array_join(parts["value"], "\n").alias("text"))
+        .agg(_together(F.struct(F.col("_place").alias("place"), "text")))
+        .select("text", F.lit(None).cast("long").alias(PART))
     )
-    texts = placed.where(whole).select(F.col("value").alias("text")).unionAll(joined.select("text"))
-    return texts.select(F.regexp_replace("text", "\r\\z", "").alias("text")).where(
-        F.trim("text") != ""
+    place = F.when(F.col("_place") == F.col("_first"), 0).otherwise(F.col("_place"))
+    return short.unionAll(
+        marked.where("_first is not null").select("text", place.cast("long").alias(PART))
     )
 
 
 def read_records(spark: SparkSession, path: str, store: TableStore, name: str) -> DataFrame:
     """All records as text columns named by the header, plus the text of malformed ones.
+    Records that are too long are left out.
 
     Short records keep their leading fields, long ones their first fields; both carry their
     full text in `_record`, which is NULL for the others.
     """
+    texts = record_texts(spark, path, store, name)
+    return _parsed(spark, path, texts.where(F.col(PART).isNull()))
+
+
+def _parsed(spark: SparkSession, path: str, texts: DataFrame) -> DataFrame:
     header = spark.read.option("header", True).option("escape", '"').csv(path).columns
     names = [column.lstrip("\ufeff") for column in header]
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, RECORD])
     options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
     fields = F.from_csv("text", schema, options)
-    return record_texts(spark, path, store, name).select(fields.alias("fields")).select("fields.*")
+    return texts.select(fields.alias("fields")).select("fields.*")
 
 
 def classified(records: DataFrame, strict: bool) -> DataFrame:
@@ -204,7 +262,7 @@ def classified(records: DataFrame, strict: bool) -> DataFrame:
 
 
 def loaded_rows(landed: DataFrame) -> DataFrame:
-    return landed.where(F.col(OUTCOME) == LOADED).drop(RECORD, OUTCOME)
+    return landed.where(F.col(OUTCOME) == LOADED).drop(RECORD, OUTCOME, PART)
 
 
 def ingest(
@@ -218,15 +276,22 @@ def ingest(
     The text is parsed once, into a table split by outcome. Loaded rows, set-aside records
     and counts are all read from there.
     """
-    records = read_records(spark, path, store, table.name)
-    landed = store.replace(classified(records, table.strict), table.name, [OUTCOME])
-    store.drop(lines_table(table.name))
+    texts = record_texts(spark, path, store, table.name)
+    records = _parsed(spark, path, texts.where(F.col(PART).isNull()))
+    pieces = texts.where(F.col(PART).isNotNull()).select(
+        F.col("text").alias(RECORD), F.lit(SKIPPED).alias(OUTCOME), PART
+    )
+    every = classified(records, table.strict).unionByName(pieces, allowMissingColumns=True)
+    landed = store.replace(every, table.name, [OUTCOME])
+    for scratch in (lines_table, pieces_table, long_table):
+        store.drop(scratch(table.name))
     loaded = F.count_if(F.col(OUTCOME) == LOADED)
-    skipped = F.count_if(F.col(OUTCOME) == SKIPPED)
+    # A record in pieces counts by its first.
+    skipped = F.count_if((F.col(OUTCOME) == SKIPPED) & (F.coalesce(PART, F.lit(0)) == 0))
     stats = landed.agg(
         loaded.alias("rows_loaded"),
         skipped.alias("rows_skipped"),
-        half_up(F.try_divide(skipped * 100.0, rows()), 1).alias("skipped_pct"),
+        half_up(F.try_divide(skipped * 100.0, loaded + skipped), 1).alias("skipped_pct"),
     ).select(F.lit(table.name).alias("table"), "rows_loaded", "rows_skipped", "skipped_pct")
     return Ingested(
         clean=loaded_rows(landed),

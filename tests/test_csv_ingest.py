@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from souk.plans.warehouse import Warehouse
-from souk.sources import csv_files
+from souk.sources import csv_files, csv_ingest
 from souk.sources.csv_ingest import CsvTables, _lines, field_count, ingest, read_records
 from souk.sources.raw_tables import RAW_TABLES, RawTable
 from souk.sources.store import TableStore
@@ -110,6 +110,36 @@ def test_records_are_whole_wherever_files_are_split(spark, tmp_path, store, spli
     assert blocks > 20 if split == 333 else blocks >= 2
 
 
+@pytest.mark.parametrize("limit", [300, 1 << 20])
+def test_an_open_quote_is_one_record_in_bounded_pieces(spark, tmp_path, store, monkeypatch, limit):
+    monkeypatch.setattr(csv_ingest, "RECORD_BYTES", limit)
+    folder = tmp_path / "open.csv"
+    folder.mkdir()
+    good = [f'{i},"two\nlines {i}"' for i in range(50)]
+    rest = [f"{i},plain text {i}" for i in range(50, 500)]
+    text = "\n".join(["id,a", *good, '50,"never closed', *rest])
+    (folder / "one.csv").write_text(text + "\n", encoding="utf-8")
+    (folder / "two.csv").write_text("id,a\n900,x\n", encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        loaded = ingest(spark, str(folder), RawTable("open", ("id",)), store)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    if limit == 300:
+        assert rows(loaded.clean) == sorted([(str(i), f"two\nlines {i}") for i in range(50)] + [("900", "x")])
+        assert rows(loaded.stats) == [("open", 51, 1, 1.9)]
+        pieces = [r.record for r in loaded.quarantine.collect()]
+        assert len(pieces) > 20 and max(map(len, pieces)) < limit + 40
+        lines = [line for piece in pieces for line in piece.split("\n")]
+        assert sorted(lines) == sorted(['50,"never closed', *rest])
+    else:
+        # Short enough for one record, as any that a quote is missing of
+        assert loaded.clean.count() == 52 and loaded.quarantine.count() == 0
+
+
 def test_byte_order_mark_is_not_part_of_the_first_name(spark, csv, store):
     path = csv("b.csv", "\ufeffid,a\r\n1,x\r\n")
     records = read_records(spark, path, store, "bom")
