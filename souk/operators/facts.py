@@ -83,12 +83,26 @@ def order_base(
     payments: DataFrame,
     reviews: DataFrame,
     geolocation: DataFrame,
+) -> DataFrame:
+    """The order table from rows that are not yet reduced to orders, `payments` aside."""
+    return order_table(
+        orders, items_per_order(items), payments, scores_per_order(reviews), customers, geolocation
+    )
+
+
+def order_table(
+    orders: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    scores: DataFrame,
+    customers: DataFrame,
+    geolocation: DataFrame,
 ) -> DataFrame:
     """One row per order of any status: the order fact plus the buyer's centroid and payment.
 
-    `payments` is already one row per order. Items and reviews are reduced to one row per
-    order before they are joined, so no join here multiplies rows or meets a hot key on both
-    sides, and the three joins share one partitioning by order.
+    Items, payments and scores are one row per order already, so no join here multiplies rows
+    or meets a hot key on both sides. They come first: where the four tables are stored by order,
+    the three joins need no shuffle.
     """
     buyers = customers.join(geolocation, "zip_prefix", "left").select(
         "customer_id",
@@ -100,10 +114,10 @@ def order_base(
     )
     paid = payments.withColumn("has_payment", F.lit(True))
     joined = (
-        orders.join(buyers, "customer_id")
-        .join(items_per_order(items), "order_id", "left")
+        orders.join(items, "order_id", "left")
         .join(paid, "order_id", "left")
-        .join(scores_per_order(reviews), "order_id", "left")
+        .join(scores, "order_id", "left")
+        .join(buyers, "customer_id")
     )
     purchase_date = F.to_date("purchased_at")
     delivery_date = F.to_date("delivered_at")

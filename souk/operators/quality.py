@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,8 +133,14 @@ def unreconciled(
     tolerance: float = RECONCILIATION_TOLERANCE,
 ) -> DataFrame:
     """Comparisons that differ by more than the tolerance, or have a side missing."""
+    return beyond_tolerance(comparisons(truth, totals), tolerance)
+
+
+def beyond_tolerance(
+    compared: DataFrame, tolerance: float = RECONCILIATION_TOLERANCE
+) -> DataFrame:
     difference = F.abs("difference")
-    return comparisons(truth, totals).where(
+    return compared.where(
         (difference > F.lit(str(tolerance)).cast("decimal(18,6)")) | difference.isNull()
     )
 
@@ -147,18 +154,92 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def orphan_counts(children: list[DataFrame], parent: DataFrame, key: str) -> DataFrame:
-    """Rows of each child whose reference has no parent, for all children in one join.
+@dataclass
+class TableChecks:
+    """What is checked of one table, in one pass over it."""
+
+    rows: DataFrame
+    # (check, columns) -> condition that a failing row meets
+    failing: dict[tuple[str, str], Column] = field(default_factory=dict)
+    unique: Sequence[str] = ()
+    combinations: Sequence[Sequence[str]] = ()
+    # column -> (table, column) that its values have to be in
+    references: dict[str, tuple[str, str]] = field(default_factory=dict)
+
+
+def exact_text(columns: Sequence[str]) -> Column:
+    """The values of the columns as one text, different for different values; NULLs are equal."""
+    values = [column(c).cast("string") for c in columns]
+    sized = [F.concat(F.octet_length(v).cast("string"), F.lit(":"), v) for v in values]
+    return F.concat(*[F.coalesce(v, F.lit("-")) for v in sized])
 
-    A child is a frame of (model, columns, value). Equal references are counted before the
-    join, so a hot one is a single row. A child without rows has no result.
+
+def all_failures(tables: dict[str, TableChecks]) -> DataFrame:
+    """(check, table, columns, failures) of every check on all tables, zeros included.
+
+    Each table is scanned once. A row gives a tagged key for each of its keys, and one for each
+    condition it fails; all keys of all tables meet in one shuffle, reduced before it. Keys have
+    one tag for a column and for the references to it: slot 0 counts its own rows, a slot further
+    on the rows of one reference. Keys that repeat in slot 0 fail a uniqueness check, rows of a
+    reference fail where slot 0 is empty. A key that many rows share is one row by then.
     """
-    references = (
-        union_all(children).groupBy("model", "columns", "value").agg(rows().alias("references"))
+    tags: dict[tuple, int] = {}
+    slots: dict[int, int] = {}
+    declared: list[tuple[str, str, str, int, int]] = []
+    cells: dict[str, list[Column]] = {name: [] for name in tables}
+
+    def tag(key: tuple) -> int:
+        return tags.setdefault(key, len(tags))
+
+    def cell(group: int, slot: int, key: Column) -> Column:
+        return F.struct(F.lit(group).alias("tag"), F.lit(slot).alias("slot"), key.alias("key"))
+
+    none = F.lit(None).cast("string")
+    for name, checks in tables.items():
+        for (check, columns), condition in checks.failing.items():
+            group = tag((check, name, columns))
+            declared.append((check, name, columns, group, 0))
+            cells[name].append(F.when(condition, cell(group, 0, none)))
+        for c in checks.combinations:
+            group = tag(("unique_combination", name, *c))
+            declared.append(("unique_combination", name, ", ".join(c), group, 0))
+            cells[name].append(cell(group, 0, exact_text(c)))
+    parents = {target for checks in tables.values() for target in checks.references.values()}
+    for name, checks in tables.items():
+        declared += [("unique", name, c, tag((name, c)), 0) for c in checks.unique]
+        for c in dict.fromkeys([*checks.unique, *(c for t, c in sorted(parents) if t == name)]):
+            value = column(c).cast("string")
+            cells[name].append(F.when(value.isNotNull(), cell(tag((name, c)), 0, value)))
+        for c, target in checks.references.items():
+            group = tag(target)
+            slots[group] = slots.get(group, 0) + 1
+            declared.append(("relationships", name, c, group, slots[group]))
+            value = column(c).cast("string")
+            cells[name].append(F.when(value.isNotNull(), cell(group, slots[group], value)))
+    keys = union_all(
+        [
+            tables[name].rows.select(F.inline(F.array_compact(F.array(*own))))
+            for name, own in cells.items()
+            if own
+        ]
+    )
+    most = max(slots.values(), default=0)
+    counts = [F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(most + 1)]
+    rows_of = keys.groupBy("tag", "key").agg(*counts)
+    failures = [F.sum(F.when(F.col("n0") == 0, F.col(f"n{i}"))) for i in range(1, most + 1)]
+    by_tag = rows_of.groupBy("tag").agg(
+        (
+            F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("n0"))), F.lit(0))
+            + F.count_if(F.col("key").isNotNull() & (F.col("n0") > 1))
+        ).alias("f0"),
+        *[F.coalesce(f, F.lit(0)).alias(f"f{i}") for i, f in enumerate(failures, 1)],
+    )
+    found = by_tag.select(
+        "tag",
+        F.posexplode(F.array(*[F.col(f"f{i}") for i in range(most + 1)])).alias("slot", "failures"),
     )
-    known = parent.select(column(key).alias("value")).where("value is not null").distinct()
-    found = references.join(known.withColumn("_found", F.lit(True)), "value", "left")
-    orphan = F.col("_found").isNull() & F.col("value").isNotNull()
-    return found.groupBy("model", "columns").agg(
-        F.sum(F.when(orphan, F.col("references")).otherwise(0)).alias("failures")
+    names = "check string, model string, columns string, tag int, slot int"
+    listed = keys.sparkSession.createDataFrame(declared, names)
+    return listed.join(found, ["tag", "slot"], "left").select(
+        "check", "model", "columns", F.coalesce("failures", F.lit(0).cast("long")).alias("failures")
     )

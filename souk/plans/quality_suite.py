@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions import labels
 from souk.functions.expressions import rows
 from souk.operators import quality
-from souk.plans.warehouse import Warehouse
+from souk.plans.warehouse import RATES, TOTALS, Warehouse
 
 
 @dataclass(frozen=True)
@@ -232,62 +233,80 @@ DECLARED: dict[str, Checks] = {
     ),
 }
 
-# Figures that are shares and must lie between 0 and 1
-RATES = [
-    (
-        "executive_summary",
-        ["on_time_rate", "on_time_rate_global", "recurrent_rate", "cancel_rate"],
-    ),
-    ("order_status_mix", ["share"]),
-    ("distance_vs_delivery", ["late_rate"]),
-    ("seller_scorecard", ["late_rate", "cancel_rate"]),
-    ("punctuality_vs_score", ["negative_rate"]),
-    ("sales_by_category", ["revenue_share"]),
-    ("revenue_concentration", ["revenue_share"]),
-    ("cohort_retention", ["retention_rate"]),
-]
-
-
-def declared_rates(w: Warehouse) -> list[tuple[str, DataFrame, list[str]]]:
-    return [(name, w[name], columns) for name, columns in RATES]
+def rates_report(w: Warehouse) -> DataFrame:
+    """(metric, figures, known, lowest, highest) of each rate, as observed when its table was
+    written."""
+    rows = []
+    for model, columns in RATES:
+        own = w.figures(model)
+        for c in columns:
+            known = [own[f"{c}.{figure}"] for figure in ("rows", "known")]
+            ends = [own[f"{c}.{figure}"] for figure in ("lowest", "highest")]
+            rows.append((f"{model}.{c}", *map(int, known), *[None if x is None else float(x) for x in ends]))
+    return w.spark.createDataFrame(
+        rows, "metric string, figures long, known long, lowest double, highest double"
+    )
 
 
 def rates_in_range(w: Warehouse) -> DataFrame:
-    return quality.rates_out_of_range(declared_rates(w))
+    """(metric, value) of known rates below 0 or above 1. Only tables with some are read."""
+    failing = []
+    for model, columns in RATES:
+        own = w.figures(model)
+        outside = [c for c in columns if int(own[f"{c}.outside"])]
+        if outside:
+            failing.append((model, w.table(model), outside))
+    if not failing:
+        return w.spark.createDataFrame([], "metric string, value double")
+    return quality.rates_out_of_range(failing)
 
 
 def revenue_truth(w: Warehouse) -> DataFrame:
+    """What the item fact says: its revenue as observed when it was written, and its orders."""
+    revenue = w.figures("fact_order_items")["revenue.total"]
     sold = w["fact_order_items"].where("is_delivered")
     return sold.agg(
-        F.sum("product_revenue").alias("revenue"), F.countDistinct("order_id").alias("orders")
+        F.lit(revenue).cast("decimal(38,2)").alias("revenue"),
+        F.count_distinct("order_id").alias("orders"),
     )
 
 
-def reconciled_totals(w: Warehouse) -> list[tuple[str, DataFrame, Column, str]]:
-    revenue = F.sum("product_revenue")
-    return [
-        ("sales_by_city", w["sales_by_city"], revenue, "revenue"),
-        ("monthly_sales", w["monthly_sales"], revenue, "revenue"),
-        ("sales_by_category", w["sales_by_category"], revenue, "revenue"),
-        ("executive_summary", w["executive_summary"], revenue, "revenue"),
-        ("take_rate", w["take_rate"], revenue, "revenue"),
-        ("sales_by_city.orders", w["sales_by_city"], F.sum("orders"), "orders"),
-        ("monthly_sales.orders", w["monthly_sales"], F.sum("orders"), "orders"),
-        (
-            "executive_summary.orders",
-            w["executive_summary"],
-            F.sum("delivered_orders"),
-            "orders",
-        ),
-    ]
+def reconciled_totals(w: Warehouse) -> list[tuple[str, Decimal | None, str]]:
+    """(mart, total, column of the truth) of each mart that has to agree with the item fact."""
+    out = []
+    for figure in ("revenue", "orders"):
+        for model, totals in TOTALS.items():
+            if figure in totals:
+                value = w.figures(model)[f"{figure}.total"]
+                name = model if figure == "revenue" else f"{model}.{figure}"
+                out.append((name, None if value is None else Decimal(value), figure))
+    return out
 
 
-def reconciliation(w: Warehouse) -> DataFrame:
-    return quality.unreconciled(revenue_truth(w), reconciled_totals(w))
+def reconciliation_report(w: Warehouse) -> DataFrame:
+    """(mart, value, expected, difference) of each mart."""
+    totals = w.spark.createDataFrame(
+        reconciled_totals(w), "mart string, value decimal(38,2), truth string"
+    )
+    truth = revenue_truth(w)
+    expected = truth.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("truth"), F.col(c).cast("decimal(38,2)").alias("expected"))
+                    for c in truth.columns
+                ]
+            )
+        )
+    )
+    return totals.join(expected, "truth", "left").select(
+        "mart", "value", "expected",
+        (F.col("value") - F.col("expected")).cast("decimal(38,2)").alias("difference"),
+    )
 
 
-def reconciliation_report(w: Warehouse) -> DataFrame:
-    return quality.comparisons(revenue_truth(w), reconciled_totals(w))
+def reconciliation(w: Warehouse) -> DataFrame:
+    return quality.beyond_tolerance(reconciliation_report(w))
 
 
 def one_row(w: Warehouse) -> DataFrame:
@@ -307,68 +326,33 @@ def _failing_rows(failing: DataFrame) -> DataFrame:
     return failing.agg(rows().alias("failures"))
 
 
-def model_report(w: Warehouse, model: str) -> list[DataFrame]:
-    """One row per check declared for the model: (check, model, columns, failures).
-
-    Failures are rows with a NULL, rows with a value outside its list, and values or key tuples
-    that repeat. The first two kinds share one pass. References are in `references_report`.
-    """
-    df, checks = w[model], DECLARED[model]
-    by_row = {("not_null", c): quality.column(c).isNull() for c in checks.not_null}
-    by_row |= {
+def table_checks(w: Warehouse, model: str) -> quality.TableChecks:
+    checks = DECLARED[model]
+    failing = {("not_null", c): quality.column(c).isNull() for c in checks.not_null}
+    failing |= {
         ("accepted_values", c): quality.outside(c, values) for c, values in checks.accepted.items()
     }
-    reports = []
-    if by_row:
-        counts = quality.failure_counts(df, by_row)
-        named = ["check", F.lit(model).alias("model"), F.col("column").alias("columns"), "failures"]
-        reports.append(counts.select(*named))
-    for c in checks.unique:
-        reports.append(_report("unique", model, c, _failing_rows(quality.unique(df, c))))
-    for columns in checks.combinations:
-        failing = quality.unique_combination(df, columns)
-        name = "unique_combination"
-        reports.append(_report(name, model, ", ".join(columns), _failing_rows(failing)))
-    return reports
-
-
-def references_report(w: Warehouse) -> list[DataFrame]:
-    """Rows whose key has no parent, as above. All references to one key share one join."""
-    children: dict[tuple[str, str], list[DataFrame]] = {}
-    declared = []
-    for model, checks in DECLARED.items():
-        for c, reference in checks.relationships.items():
-            declared.append((model, c))
-            tagged = w[model].select(
-                F.lit(model).alias("model"), F.lit(c).alias("columns"), quality.column(c).alias("value")
-            )
-            children.setdefault(reference, []).append(tagged)
-    # A model without rows has no failures either.
-    none = w.spark.createDataFrame(declared, "model string, columns string").withColumn(
-        "failures", F.lit(0).cast("long")
+    return quality.TableChecks(
+        w[model], failing, checks.unique, checks.combinations, checks.relationships
     )
-    counts = [
-        quality.orphan_counts(frames, w[parent], key) for (parent, key), frames in children.items()
-    ]
-    failures = quality.union_all([none, *counts]).groupBy("model", "columns")
-    return [
-        failures.agg(F.sum("failures").alias("failures")).select(
-            F.lit("relationships").alias("check"), "model", "columns", "failures"
-        )
-    ]
+
+
+def declared_report(w: Warehouse) -> DataFrame:
+    """(check, model, columns, failures) of every check that is declared for a model.
+
+    Failures are rows with a NULL, rows with a value outside its list, values or key tuples
+    that repeat, and rows whose key has no parent.
+    """
+    return quality.all_failures({model: table_checks(w, model) for model in DECLARED})
 
 
 def suite_report(w: Warehouse) -> DataFrame:
-    """Every declared check with its number of failures. Builds and reads the written tables,
-    so that no mart is derived once per check."""
-    for model in DECLARED:
-        w.table(model)
-    reports = [report for model in DECLARED for report in model_report(w, model)]
-    reports += references_report(w)
+    """Every declared check with its number of failures, over written tables."""
+    w.tables(DECLARED)
     singles = [
         ("one_row", "executive_summary", "", one_row(w)),
         ("rates_in_range", "", "", rates_in_range(w)),
         ("reconciliation", "fact_order_items", "", reconciliation(w)),
     ]
-    reports += [_report(c, m, cols, _failing_rows(df)) for c, m, cols, df in singles]
-    return quality.union_all(reports)
+    reports = [_report(c, m, cols, _failing_rows(df)) for c, m, cols, df in singles]
+    return quality.union_all([declared_report(w), *reports])

@@ -7,13 +7,16 @@ a re-read. Every other model is a plan over those tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from souk.functions import labels
 from souk.operators import dimensions, facts, item_marts, order_marts, staging
-from souk.sources.store import TableStore
+from souk.session import shuffle_partitions
+from souk.sources.store import PLAIN, Layout, TableStore
 
 # model -> how it follows from the warehouse, in build order
 MODELS: dict[str, Callable[["Warehouse"], DataFrame]] = {
@@ -28,13 +31,8 @@ MODELS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     "stg_sellers": lambda w: staging.stg_sellers(w.raw["raw_sellers"]),
     "stg_geolocation": lambda w: staging.stg_geolocation(w.raw["raw_geolocation"]),
     "payments_per_order": lambda w: staging.payments_per_order(w["stg_payments"]),
-    "order_base": lambda w: facts.order_base(
-        w["stg_orders"],
-        w["stg_customers"],
-        w["stg_order_items"],
-        w["payments_per_order"],
-        w["stg_reviews"],
-        w["stg_geolocation"],
+    "order_base": lambda w: facts.order_table(
+        *w.by_order().values(), w["stg_customers"], w["stg_geolocation"]
     ),
     "dim_customers": lambda w: dimensions.dim_customers(w["order_base"], w["stg_orders"]),
     "dim_products": lambda w: dimensions.dim_products(w["stg_products"]),
@@ -77,6 +75,71 @@ TABLES = [name for name in MODELS if name not in VIEWS]
 # Written as soon as anything reads them; the other tables are written by a build.
 SHARED = ("stg_geolocation", "order_base", "dim_customers", "fact_order_items")
 
+# What the order table joins by order, stored by it: one row per order, so no bucket is hot.
+BY_ORDER: dict[str, Callable[["Warehouse"], DataFrame]] = {
+    "orders_by_order": lambda w: w["stg_orders"].repartition(w.buckets, "order_id"),
+    "items_by_order": lambda w: facts.items_per_order(w["stg_order_items"]),
+    "payments_by_order": lambda w: w["payments_per_order"],
+    "scores_by_order": lambda w: facts.scores_per_order(w["stg_reviews"]),
+}
+
+# The facts have a folder for each month, so that a question about some months reads only those.
+BY_MONTH = Layout(partition_by=("purchase_month",))
+LAYOUTS = {"order_base": BY_MONTH, "fact_order_items": BY_MONTH}
+
+# Tables that a build writes at the same time
+WRITERS = 4
+
+
+def rate_figures(columns: Iterable[str]) -> dict[str, Column]:
+    """What the range checks need of rate columns."""
+    out = {}
+    for name in columns:
+        value = F.col(name).cast("double")
+        out |= {
+            f"{name}.rows": F.count(F.lit(1)),
+            f"{name}.known": F.count(value),
+            f"{name}.outside": F.count_if((value < 0) | (value > 1)),
+            f"{name}.lowest": F.min(value),
+            f"{name}.highest": F.max(value),
+        }
+    return out
+
+
+def total_figures(totals: dict[str, Column]) -> dict[str, Column]:
+    return {f"{name}.total": total.cast("decimal(38,2)") for name, total in totals.items()}
+
+
+# The shares and totals that are checked, observed while their table is written
+RATES: list[tuple[str, list[str]]] = [
+    (
+        "executive_summary",
+        ["on_time_rate", "on_time_rate_global", "recurrent_rate", "cancel_rate"],
+    ),
+    ("order_status_mix", ["share"]),
+    ("distance_vs_delivery", ["late_rate"]),
+    ("seller_scorecard", ["late_rate", "cancel_rate"]),
+    ("punctuality_vs_score", ["negative_rate"]),
+    ("sales_by_category", ["revenue_share"]),
+    ("revenue_concentration", ["revenue_share"]),
+    ("cohort_retention", ["retention_rate"]),
+]
+# table -> name of the figure -> summed column
+TOTALS: dict[str, dict[str, str]] = {
+    "sales_by_city": {"revenue": "product_revenue", "orders": "orders"},
+    "monthly_sales": {"revenue": "product_revenue", "orders": "orders"},
+    "sales_by_category": {"revenue": "product_revenue"},
+    "executive_summary": {"revenue": "product_revenue", "orders": "delivered_orders"},
+    "take_rate": {"revenue": "product_revenue"},
+}
+
+
+def figures_of(name: str) -> dict[str, Column]:
+    totals = {figure: F.sum(column) for figure, column in TOTALS.get(name, {}).items()}
+    if name == "fact_order_items":
+        totals["revenue"] = F.sum(F.when(F.col("is_delivered"), F.col("product_revenue")))
+    return rate_figures(dict(RATES).get(name, [])) | total_figures(totals)
+
 
 class Warehouse:
     """`warehouse["sales_by_city"]` is a DataFrame; nothing but the shared tables is run."""
@@ -100,6 +163,7 @@ class Warehouse:
         self._kept: set[str] = set()
         self._models: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
+        self._by_order: dict[str, DataFrame] = {}
 
     def plan(self, name: str) -> DataFrame:
         """The model as a plan over the tables it reads, whether or not it is written."""
@@ -118,11 +182,51 @@ class Warehouse:
             return self[name]
         if name not in self._tables:
             written = self.built or name in self._kept
-            self._tables[name] = (
-                self.store.read(name) if written else self.store.replace(self.plan(name), name)
-            )
+            self._tables[name] = self.store.read(name) if written else self._write(name)
         return self._tables[name]
 
+    def _write(self, name: str) -> DataFrame:
+        layout = LAYOUTS.get(name, PLAIN)
+        return self.store.replace(self.plan(name), name, layout=layout, figures=figures_of(name))
+
+    def tables(self, names: Iterable[str]) -> None:
+        """Write tables that are not written yet, several at a time: most are too small to fill
+        a cluster. The shared ones come before, in their order."""
+        names = [name for name in names if name not in VIEWS]
+        for name in SHARED:
+            if name in names or len(names) > 1:
+                self.table(name)
+        with ThreadPoolExecutor(WRITERS) as pool:
+            list(pool.map(self.table, names))
+
+    @property
+    def buckets(self) -> int:
+        return shuffle_partitions(self.spark)
+
+    def by_order(self) -> dict[str, DataFrame]:
+        """The tables of `BY_ORDER`, written by order once for this warehouse."""
+        layout = Layout(bucket_by="order_id", buckets=self.buckets)
+
+        def write(name: str) -> DataFrame:
+            return self.store.replace(BY_ORDER[name](self), name, layout=layout)
+
+        if not self._by_order:
+            # What two of them read is written before.
+            for name in ("stg_orders", "stg_order_items"):
+                self[name]
+            with ThreadPoolExecutor(WRITERS) as pool:
+                self._by_order = dict(zip(BY_ORDER, pool.map(write, BY_ORDER)))
+        return self._by_order
+
+    def figures(self, name: str) -> dict[str, str | None]:
+        """The figures of a table, which is written if it is not."""
+        table, kept = self.table(name), self.store.figures(name)
+        if kept is None:
+            # Written by something that observed none
+            row = table.agg(*[f.alias(key) for key, f in figures_of(name).items()]).first()
+            kept = {key: None if v is None else str(v) for key, v in row.asDict().items()}
+        return kept
+
     def build(self, names: list[str] | None = None) -> None:
         """Write every selected table in full and publish every model as a temp view.
 
@@ -130,8 +234,7 @@ class Warehouse:
         """
         if names:
             self._kept = {name for name in TABLES if name not in names and self.store.has(name)}
-        for name in names or list(MODELS):
-            self.table(name)
+        self.tables(names or list(MODELS))
         self.publish(names)
 
     def publish(self, names: list[str] | None = None) -> None:

@@ -49,6 +49,13 @@ def partition_sizes(size: int, partitions: int) -> dict[str, str]:
     }
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The number that a shuffle starts with."""
+    default = spark.conf.get("spark.sql.shuffle.partitions")
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    return int(spark.conf.get(name, None) or default)
+
+
 def fit_to_input(spark: SparkSession, folder: str) -> None:
     """Size shuffles and scans for the data in a folder."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -103,10 +110,29 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
-def put_in_place(spark: SparkSession, written: str, path: str) -> None:
-    """Has a completely written folder take the place of what the path held."""
-    source, files = _hadoop(spark, written)
-    target, _ = _hadoop(spark, path)
-    delete_path(spark, path)
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Gives a file or folder another place, in one step where the file system can."""
+    source, files = _hadoop(spark, path)
+    target, _ = _hadoop(spark, to)
+    files.mkdirs(target.getParent())
     if not files.rename(source, target):
-        raise OSError(f"{written} could not be renamed to {path}")
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    target, files = _hadoop(spark, path)
+    out = files.create(target, True)
+    out.write(text.encode())
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, or nothing where there is none."""
+    target, files = _hadoop(spark, path)
+    if not files.exists(target):
+        return None
+    opened = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()

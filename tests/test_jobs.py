@@ -2,11 +2,13 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from souk.__main__ import main
-from souk.session import CHECKPOINT_DIR, MB, input_bytes, partition_sizes, shared_folder
+from souk.session import CHECKPOINT_DIR, MB, input_bytes, partition_sizes, rename, shared_folder
 from souk.sources import csv_files
-from souk.sources.store import TableStore
+from souk.sources import store as store_module
+from souk.sources.store import Layout, TableStore
 
 
 def test_load_build_test_and_show(spark, warehouse, tmp_path, capsys):
@@ -59,6 +61,60 @@ def test_a_failed_write_leaves_the_table(spark, store):
     assert store.replace(store.read("t").where("id < 2"), "t").count() == 2
 
 
+def fail(*args):
+    raise OSError("no rename")
+
+
+def test_a_failed_switch_leaves_the_old_rows(spark, store, monkeypatch):
+    store.replace(spark.range(5), "t")
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="no rename"):
+        patched.setattr(store_module, "rename", fail)
+        store.replace(spark.range(3), "t")
+    assert store.read("t").count() == 5
+    assert spark.read.parquet(store.path("t")).count() == 5
+    assert store.replace(store.read("t").where("id < 2"), "t").count() == 2
+    assert store.read("t").count() == spark.read.parquet(store.path("t")).count() == 2
+
+
+def test_a_failure_after_the_switch_leaves_the_new_rows(spark, store, monkeypatch):
+    store.replace(spark.range(5), "t", figures={"rows": F.count(F.lit(1))})
+
+    def only_the_switch(spark_, path, to):
+        if not to.endswith("/current"):
+            fail()
+        rename(spark_, path, to)
+
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="no rename"):
+        patched.setattr(store_module, "rename", only_the_switch)
+        store.replace(spark.range(3), "t", figures={"rows": F.count(F.lit(1))})
+    # Between the steps the table's own folder is gone, and the store still has all rows.
+    assert not os.path.exists(store.path("t"))
+    assert store.has("t") and store.read("t").count() == 3 and store.figures("t") == {"rows": "3"}
+    assert store.replace(store.read("t").where("id < 2"), "t").count() == 2
+    assert spark.read.parquet(store.path("t")).count() == 2
+    assert os.listdir(f"{store.root}/.versions") == ["_next"]
+
+
+def test_a_version_can_stay_where_it_was_switched_to(spark, store, monkeypatch):
+    """Readers that come before the last step, or after its failure, see one whole table."""
+    store.replace(spark.range(5), "t")
+    monkeypatch.setattr(TableStore, "_settle", lambda self, table: None)
+    written = store.replace(spark.range(7), "t")
+    monkeypatch.undo()
+    assert written.count() == store.read("t").count() == 7
+
+
+def test_figures_are_those_of_the_rows(spark, store):
+    figures = {"n": F.count(F.lit(1)), "total": F.sum("id").cast("decimal(38,2)"), "none": F.max("null")}
+    rows = spark.range(100).withColumn("null", F.lit(None).cast("double"))
+    layout = Layout(partition_by=("month",))
+    rows = rows.withColumn("month", F.col("id") % 3)
+    store.replace(rows, "t", figures=figures, layout=layout)
+    assert store.figures("t") == {"n": "100", "total": "4950.00", "none": None}
+    assert store.replace(rows, "t").columns == ["id", "null", "month"]
+    assert store.figures("t") is None
+
+
 def test_written_folders_come_from_the_session(spark):
     folder = shared_folder(spark)
     assert folder == spark.conf.get(CHECKPOINT_DIR)

@@ -1,11 +1,14 @@
 """What the physical plans must look like, whatever the data size."""
 
 import re
+from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
+from souk.plans import quality_suite
 from souk.plans.consumer import QUESTIONS
-from souk.plans.warehouse import MODELS
+from souk.plans.warehouse import MODELS, TABLES
 
 
 def plan_of(df):
@@ -77,3 +80,49 @@ def test_order_fact_reads_items_in_two_narrow_columns_more(warehouse):
     """Numbering the items is not paid for where the number is not used."""
     plan = plan_of(warehouse.plan("order_base"))
     assert "order_item_id" not in plan
+
+
+@contextmanager
+def without_broadcasts(spark):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_order_joins_need_no_shuffle(spark, warehouse):
+    with without_broadcasts(spark):
+        plan = plan_of(warehouse.plan("order_base"))
+    joins = re.findall(r"SortMergeJoin \[(\w+)#\d+L?\], \[\w+#\d+L?\], (\w+)", plan)
+    assert sorted(joins) == [
+        ("customer_id", "Inner"), *[("order_id", "LeftOuter")] * 3, ("zip_prefix", "LeftOuter")
+    ]
+    assert "hashpartitioning(order_id" not in plan
+    assert plan.count("SelectedBucketsCount") == 4
+
+
+@pytest.mark.parametrize("name", ["fact_order_items", "fact_orders"])
+def test_a_month_is_read_from_its_folder_alone(warehouse, name):
+    month = warehouse[name].where("purchase_month = date'1996-07-01'")
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan_of(month)).group(1)
+    assert "purchase_month" in filters
+    files = month.select(F.input_file_name().alias("f")).distinct().collect()
+    assert files and all("/purchase_month=1996-07-01/" in row.f for row in files)
+    whole = warehouse[name].where("date_format(purchase_month, 'yyyyMM') = '199607'")
+    assert month.count() == whole.count() > 0
+
+
+def test_declared_checks_scan_each_table_once_and_shuffle_once(warehouse):
+    warehouse.tables(quality_suite.DECLARED)
+    plan = plan_of(quality_suite.declared_report(warehouse))
+    shuffles = re.findall(r"hashpartitioning\((\w+)#\d+, (\w+)#\d+, \d+\)", plan)
+    assert shuffles.count(("tag", "key")) == 1
+    for name in set(TABLES) & set(quality_suite.DECLARED):
+        path = warehouse.store.path(name)
+        # The order fact is a view of the order table.
+        assert plan.count(f"{path}]") <= 1, name

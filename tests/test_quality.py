@@ -108,3 +108,72 @@ def test_values_and_names_of_any_characters(spark):
     assert [r["value"] for r in quality.accepted_values(df, "the`name", ["d'Or"]).collect()] == ["x"]
     rows = quality.not_null(df, ["a rate", "the`name"]).collect()
     assert [(r["column"], r["failures"]) for r in rows] == [("a rate", 1), ("the`name", 1)]
+
+
+def test_all_failures_of_several_tables(spark):
+    parent = spark.createDataFrame([(1, "x"), (2, "x"), (2, "y"), (None, "x")], "k long, v string")
+    child = spark.createDataFrame(
+        [(1, "a", "b"), (3, "a", "b"), (3, None, "b"), (None, None, "b"), (2, "a:1", "")],
+        "k int, p string, q string",
+    )
+    tables = {
+        "parent": quality.TableChecks(
+            parent, {("not_null", "k"): F.col("k").isNull(), ("not_null", "v"): F.col("v").isNull()}, ["k", "v"]
+        ),
+        "child": quality.TableChecks(
+            child, {("accepted_values", "p"): quality.outside("p", ["a"])}, ["q"], [["p", "q"], ["k"]],
+            {"k": ("parent", "k")},
+        ),
+        "again": quality.TableChecks(child.where("k is not null"), references={"k": ("parent", "k")}),
+        "empty": quality.TableChecks(child.limit(0), {("not_null", "k"): F.col("k").isNull()}, ["k"], [["p"]]),
+    }
+    got = {(r.check, r.model, r["columns"]): r.failures for r in quality.all_failures(tables).collect()}
+    assert got == {
+        ("not_null", "parent", "k"): 1,
+        ("not_null", "parent", "v"): 0,
+        ("unique", "parent", "k"): 1,
+        ("unique", "parent", "v"): 1,
+        ("accepted_values", "child", "p"): 1,
+        ("unique", "child", "q"): 1,
+        ("unique_combination", "child", "p, q"): 2,
+        ("unique_combination", "child", "k"): 1,
+        ("relationships", "child", "k"): 2,
+        ("relationships", "again", "k"): 2,
+        ("not_null", "empty", "k"): 0,
+        ("unique", "empty", "k"): 0,
+        ("unique_combination", "empty", "p"): 0,
+    }
+
+
+@pytest.mark.parametrize("pair", [(["a", None], [None, "a"]), (["1:a", "b"], ["1", "a1:b"]), (["-", None], [None, "-"])])
+def test_different_keys_have_different_texts(spark, pair):
+    df = spark.createDataFrame(list(map(tuple, pair)), "x string, y string")
+    assert df.select(quality.exact_text(["x", "y"])).distinct().count() == 2
+
+
+def test_rates_and_totals_come_from_observed_figures(warehouse):
+    report = {r.metric: r for r in quality_suite.rates_report(warehouse).collect()}
+    read = quality.rates([(name, warehouse.table(name), columns) for name, columns in RATES])
+    expected = read.groupBy("metric").agg(
+        F.count(F.lit(1)).alias("figures"), F.count("value").alias("known"),
+        F.min("value").alias("lowest"), F.max("value").alias("highest"),
+    )
+    assert report == {r.metric: r for r in expected.collect()}
+    scans = quality_suite.rates_in_range(warehouse)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in scans
+
+
+def test_a_rate_out_of_range_is_shown(spark, warehouse, tmp_path):
+    from souk.plans.warehouse import Warehouse
+    from souk.sources.store import TableStore
+
+    w = Warehouse(spark, warehouse.raw, TableStore(spark, str(tmp_path)), built=True)
+    for name, columns in RATES:
+        table = warehouse.table(name)
+        if name == "order_status_mix":
+            table = table.withColumn("share", F.col("share") + 1)
+        # Without figures, as an older build would have left them
+        w.store.replace(table, name)
+    failing = quality_suite.rates_in_range(w).collect()
+    assert {r.metric for r in failing} == {"order_status_mix.share"}
+    assert len(failing) == warehouse.table("order_status_mix").where("share > 0").count()
