@@ -45,6 +45,8 @@ HELD_BACK = 5
 MAX_ERROR = 0.01
 UNKNOWN = "und"
 SEED = 17
+# Texts of the sample whose subwords are counted at once
+EXAMPLES = 256
 
 # Lower case for A-Z; all that is no letter by bytes is a blank.
 _LETTERS = np.full(256, 32, np.uint8)
@@ -121,18 +123,25 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def examples(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, share of the subwords) of each text."""
+    """(buckets, share of the subwords) of each text, a few texts at a time."""
+    made = []
+    for start in range(0, len(texts), EXAMPLES):
+        made += _examples(texts[start : start + EXAMPLES])
+    return made
+
+
+def _examples(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     data, offsets = joined(texts)
     parts = list(subwords(data, offsets))
     if not parts:
-        return [(np.zeros(0, np.int64), np.zeros(0, np.float32))] * len(texts)
+        return [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * len(texts)
     bucket, text = (np.concatenate(x) for x in zip(*parts))
     # Equal subwords of a text become one with their share.
     key, n = np.unique(text * BUCKETS + bucket, return_counts=True)
     cuts = np.searchsorted(key // BUCKETS, np.arange(1, len(texts)))
     total = np.maximum(np.bincount(text, minlength=len(texts)), 1)
     share = (n / total[key // BUCKETS]).astype(np.float32)
-    return list(zip(np.split(key % BUCKETS, cuts), np.split(share, cuts)))
+    return list(zip(np.split((key % BUCKETS).astype(np.int32), cuts), np.split(share, cuts)))
 
 
 def pieces(texts: list[bytes], rng: np.random.Generator) -> tuple[list[bytes], np.ndarray]:
