@@ -22,41 +22,109 @@ def significant(orders: Column, threshold: int) -> Column:
     return orders >= threshold
 
 
+# Cells of the order fact that the marts below add up: their keys, by name
+CITY, MONTH, DAYS, STATUS = "city", "month", "days", "status"
+CELLS = {
+    CITY: ["customer_city", "customer_state"],
+    MONTH: ["purchase_month", "customer_uid"],
+    DAYS: ["customer_state", "delivery_days"],
+    STATUS: ["order_status"],
+}
+STATE = ["customer_state"]
+
+
+_ADDED_UP = ("product_revenue", "freight", "paid_value", "max_installments")
+_LEGS = ("approval_days", "handling_days", "transit_days")
+# What a cell holds: numbers and sums alone, so that cells add up to larger ones
+MEASURES = [
+    "orders",
+    "arrived",
+    *(f"{kind}_{name}" for name in (*_ADDED_UP, *_LEGS) for kind in ("sum", "with")),
+]
+
+
+_MONEY = ["orders", "sum_product_revenue", "with_product_revenue", "sum_freight", "sum_paid_value"]
+
+
+def _measure(name: str) -> Column:
+    if name == "orders":
+        return rows().alias(name)
+    if name == "arrived":
+        return F.count("delivered_at").alias(name)
+    kind, column = name.split("_", 1)
+    value = F.col(column)
+    if column in _LEGS:
+        value = F.when(F.col("delivered_at").isNotNull(), value)
+    return (F.sum(value) if kind == "sum" else F.count(value)).alias(name)
+
+
+def cells(
+    fact: DataFrame,
+    name: str,
+    keys: list[str] | None = None,
+    measures: list[str] | None = None,
+) -> DataFrame:
+    """The cells of one kind, or coarser ones by the given keys; of delivered orders, unless they
+    are by status."""
+    counted = fact if name == STATUS else delivered(fact)
+    return counted.groupBy(*(keys or CELLS[name])).agg(*map(_measure, measures or MEASURES))
+
+
+def all_cells(fact: DataFrame) -> DataFrame:
+    """The cells of all kinds in one pass over the fact, told apart by the column `cells`."""
+    sold = "is_delivered"
+    sets = [[*([] if name == STATUS else [sold]), *keys] for name, keys in CELLS.items()]
+    keys = list(dict.fromkeys(key for own in sets for key in own))
+    kind = F.lit(DAYS)
+    for name, mark in ((CITY, "customer_city"), (MONTH, "customer_uid"), (STATUS, "order_status")):
+        kind = F.when(F.grouping(mark) == 0, name).otherwise(kind)
+    found = fact.groupingSets(sets, *keys).agg(*map(_measure, MEASURES), kind.alias("cells"))
+    return found.where((F.col("cells") == STATUS) | F.col(sold)).drop(sold)
+
+
+def _mean(name: str, digits: int) -> Column:
+    return ratio(F.sum(f"sum_{name}"), F.sum(f"with_{name}"), digits)
+
+
 def sales_by_city(fact: DataFrame, threshold: int = labels.SIGNIFICANT_ORDERS) -> DataFrame:
+    return sales_by_city_of(cells(fact, CITY, measures=_MONEY), threshold)
+
+
+def sales_by_city_of(
+    cities: DataFrame, threshold: int = labels.SIGNIFICANT_ORDERS
+) -> DataFrame:
     return (
-        delivered(fact)
-        .groupBy(F.col("customer_city").alias("city"), F.col("customer_state").alias("state"))
+        cities.groupBy(F.col("customer_city").alias("city"), F.col("customer_state").alias("state"))
         .agg(
-            rows().alias("orders"),
-            total("product_revenue").alias("product_revenue"),
-            total("freight").alias("freight_total"),
-            total("paid_value").alias("gmv"),
+            F.sum("orders").alias("orders"),
+            total("sum_product_revenue").alias("product_revenue"),
+            total("sum_freight").alias("freight_total"),
+            total("sum_paid_value").alias("gmv"),
         )
         .withColumn("is_significant", significant(F.col("orders"), threshold))
     )
 
 
 def monthly_sales(fact: DataFrame, threshold: int = labels.SIGNIFICANT_ORDERS) -> DataFrame:
-    """Monthly levels, and changes against the month and the year before.
+    return monthly_sales_of(cells(fact, MONTH, measures=_MONEY), threshold)
+
+
+def monthly_sales_of(
+    buyers: DataFrame, threshold: int = labels.SIGNIFICANT_ORDERS
+) -> DataFrame:
+    """Monthly levels, and changes against the month and the year before, from the cells by month
+    and customer.
 
     The comparison months are found on the calendar, not as earlier rows: a month without
     orders has no row, and a comparison with it has no result.
     """
-    sold = delivered(fact)
-    by_customer = sold.groupBy("purchase_month", "customer_uid").agg(
-        rows().alias("orders"),
-        F.count("product_revenue").alias("with_revenue"),
-        F.sum("product_revenue").alias("product_revenue"),
-        F.sum("freight").alias("freight"),
-        F.sum("paid_value").alias("paid_value"),
-    )
-    months = by_customer.groupBy(F.col("purchase_month").alias("month")).agg(
+    months = buyers.groupBy(F.col("purchase_month").alias("month")).agg(
         F.sum("orders").alias("orders"),
         F.count("customer_uid").alias("unique_customers"),
-        total("product_revenue").alias("product_revenue"),
-        total("freight").alias("freight_total"),
-        total("paid_value").alias("gmv"),
-        ratio(F.sum("product_revenue"), F.sum("with_revenue"), 2).alias("avg_product_ticket"),
+        total("sum_product_revenue").alias("product_revenue"),
+        total("sum_freight").alias("freight_total"),
+        total("sum_paid_value").alias("gmv"),
+        _mean("product_revenue", 2).alias("avg_product_ticket"),
     )
     # One row per calendar month, so one ordered pass over all of them is small. The frames
     # reach back one and twelve months by value, and a missing month leaves its frame empty.
@@ -123,32 +191,59 @@ def punctuality_figures() -> list[Column]:
 def delivery_time_by_state(
     fact: DataFrame, threshold: int = labels.SIGNIFICANT_ORDERS
 ) -> DataFrame:
-    """Percentiles are exact. Their state is one counter per distinct number of days, so it
-    stays small however many orders a state has."""
+    return delivery_time_by_state_of(cells(fact, DAYS), threshold)
+
+
+def delivery_time_by_state_of(
+    days: DataFrame, threshold: int = labels.SIGNIFICANT_ORDERS
+) -> DataFrame:
+    """From the cells by state and days, which are a histogram: percentiles are exact, and no
+    state of theirs is kept over the orders."""
+    known = F.when(F.col("delivery_days").isNotNull(), F.col("arrived"))
+    all_days = F.sum(F.col("delivery_days") * known)
     return (
-        delivered(fact)
-        .where("delivered_at is not null")
+        days.where("arrived > 0")
         .groupBy(F.col("customer_state").alias("state"))
         .agg(
-            rows().alias("delivered_orders"),
-            mean(F.col("delivery_days"), 1).alias("avg_delivery_days"),
-            days_percentile(0.5).alias("p50_days"),
-            days_percentile(0.9).alias("p90_days"),
-            mean(F.col("approval_days"), 2).alias("avg_approval_days"),
-            mean(F.col("handling_days"), 2).alias("avg_handling_days"),
-            mean(F.col("transit_days"), 2).alias("avg_transit_days"),
-            ratio(F.avg("transit_days"), F.avg("delivery_days")).alias("courier_share"),
+            F.sum("arrived").alias("delivered_orders"),
+            ratio(all_days, F.sum(known), 1).alias("avg_delivery_days"),
+            days_percentile(50).alias("p50_days"),
+            days_percentile(90).alias("p90_days"),
+            _mean("approval_days", 2).alias("avg_approval_days"),
+            _mean("handling_days", 2).alias("avg_handling_days"),
+            _mean("transit_days", 2).alias("avg_transit_days"),
+            ratio(
+                F.sum("sum_transit_days") / F.sum("with_transit_days"), all_days / F.sum(known)
+            ).alias("courier_share"),
         )
         .withColumn("is_significant", significant(F.col("delivered_orders"), threshold))
     )
 
 
-def days_percentile(share: float) -> Column:
-    return F.expr(f"percentile_disc({share}) within group (order by delivery_days)").cast("long")
+def days_percentile(percent: int) -> Column:
+    """The least number of days that this part of the orders in cells did not take longer than.
+
+    Gathers one entry for each cell, so for each different number of days (and state).
+    """
+    day = F.struct(F.col("delivery_days").alias("day"), F.col("arrived").alias("n"))
+    histogram = F.array_sort(F.collect_list(F.when(F.col("delivery_days").isNotNull(), day)))
+    need = F.sum(F.when(F.col("delivery_days").isNotNull(), F.col("arrived"))) * percent
+    start = F.struct(F.lit(0).cast("long").alias("so_far"), F.lit(None).cast("long").alias("day"))
+
+    def step(state: Column, own: Column) -> Column:
+        so_far = state["so_far"] + own["n"]
+        reached = F.when(so_far * 100 >= need, own["day"])
+        return F.struct(so_far.alias("so_far"), F.coalesce(state["day"], reached).alias("day"))
+
+    return F.aggregate(histogram, start, step, lambda state: state["day"])
 
 
 def order_status_mix(fact: DataFrame) -> DataFrame:
-    counts = fact.groupBy("order_status").agg(rows().alias("orders"))
+    return order_status_mix_of(cells(fact, STATUS, measures=["orders"]))
+
+
+def order_status_mix_of(statuses: DataFrame) -> DataFrame:
+    counts = statuses.groupBy("order_status").agg(F.sum("orders").alias("orders"))
     # One row per status: the total over all of them is a handful of rows.
     everything = Window.partitionBy()
     return counts.withColumn("share", ratio(F.col("orders"), F.sum("orders").over(everything)))
@@ -199,19 +294,24 @@ def take_rate(
     fact: DataFrame,
     commission: float = labels.COMMISSION,
     payment_fee: float = labels.PAYMENT_FEE,
+) -> DataFrame:
+    months = cells(fact, MONTH, ["purchase_month"], _MONEY)
+    return take_rate_of(months, commission, payment_fee)
+
+
+def take_rate_of(
+    buyers: DataFrame,
+    commission: float = labels.COMMISSION,
+    payment_fee: float = labels.PAYMENT_FEE,
 ) -> DataFrame:
     """Estimated platform income per month, from two assumed rates.
 
     Commission is charged on merchandise, the fee on everything paid.
     """
-    months = (
-        delivered(fact)
-        .groupBy(F.col("purchase_month").alias("month"))
-        .agg(
-            rows().alias("orders"),
-            total("paid_value").alias("gmv"),
-            total("product_revenue").alias("product_revenue"),
-        )
+    months = buyers.groupBy(F.col("purchase_month").alias("month")).agg(
+        F.sum("orders").alias("orders"),
+        total("sum_paid_value").alias("gmv"),
+        total("sum_product_revenue").alias("product_revenue"),
     )
     return with_take_rate(months, rate(commission), rate(payment_fee)).select(
         "month",
@@ -246,24 +346,32 @@ def with_take_rate(months: DataFrame, commission: Column, payment_fee: Column) -
 
 
 def ticket_by_state(fact: DataFrame, threshold: int = labels.SIGNIFICANT_ORDERS) -> DataFrame:
+    return ticket_by_state_of(cells(fact, DAYS, STATE), threshold)
+
+
+def ticket_by_state_of(
+    states: DataFrame, threshold: int = labels.SIGNIFICANT_ORDERS
+) -> DataFrame:
     return (
-        delivered(fact)
-        .groupBy(F.col("customer_state").alias("state"))
+        states.groupBy(F.col("customer_state").alias("state"))
         .agg(
-            rows().alias("orders"),
-            mean(F.col("paid_value"), 2).alias("avg_paid_ticket"),
-            mean(F.col("product_revenue"), 2).alias("avg_product_ticket"),
-            mean(F.col("max_installments"), 1).alias("avg_installments"),
+            F.sum("orders").alias("orders"),
+            _mean("paid_value", 2).alias("avg_paid_ticket"),
+            _mean("product_revenue", 2).alias("avg_product_ticket"),
+            _mean("max_installments", 1).alias("avg_installments"),
         )
         .withColumn("is_significant", significant(F.col("orders"), threshold))
     )
 
 
-def executive_summary(fact: DataFrame, customers: DataFrame) -> DataFrame:
+def executive_summary(
+    fact: DataFrame, customers: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
     """One row of headline figures.
 
-    Everything at order grain comes from one pass; the customer figures are scalar
-    subqueries, since distinct customers and the customer dimension have their own grain.
+    Everything at order grain comes from one pass; the customer figures and the percentile are
+    scalar subqueries, since distinct customers, the customer dimension and the cells by days
+    have their own grain.
     """
     sold = F.col("is_delivered")
 
@@ -274,10 +382,8 @@ def executive_summary(fact: DataFrame, customers: DataFrame) -> DataFrame:
     both_dates = F.col("delivered_at").isNotNull() & F.col("promised_at").isNotNull()
     due = ~F.col("order_status").isin(labels.NOT_YET_SHIPPABLE_STATUSES)
     orders = F.count_if(sold)
-    p90 = F.expr(
-        "percentile_disc(0.9) within group"
-        " (order by case when is_delivered then delivery_days end)"
-    )
+    days = cells(fact, DAYS, ["delivery_days"], ["arrived"]) if days is None else days
+    p90 = days.where("arrived > 0").agg(days_percentile(90)).scalar()
     figures = fact.agg(
         F.min(if_sold("purchase_date")).alias("date_from"),
         F.max(if_sold("purchase_date")).alias("date_to"),
@@ -288,7 +394,6 @@ def executive_summary(fact: DataFrame, customers: DataFrame) -> DataFrame:
         ratio(F.sum(if_sold("product_revenue")), orders, 2).alias("product_ticket"),
         ratio(F.sum(if_sold("paid_value")), orders, 2).alias("paid_ticket"),
         ratio(F.count_if(sold & on_time), F.count_if(sold & both_dates)).alias("on_time_rate"),
-        p90.cast("long").alias("delivery_p90"),
         half_up(F.avg(-if_sold("days_vs_promise")), 1).alias("promise_cushion_days"),
         mean(if_sold("review_score"), 2).alias("avg_score"),
         ratio(F.count_if(due & on_time), F.count_if(due)).alias("on_time_rate_global"),
@@ -309,7 +414,7 @@ def executive_summary(fact: DataFrame, customers: DataFrame) -> DataFrame:
         "product_ticket",
         "paid_ticket",
         "on_time_rate",
-        "delivery_p90",
+        p90.alias("delivery_p90"),
         "promise_cushion_days",
         "avg_score",
         "on_time_rate_global",

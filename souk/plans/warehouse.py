@@ -43,14 +43,16 @@ MODELS: dict[str, Callable[["Warehouse"], DataFrame]] = {
         w["stg_order_items"], w["order_base"], w["dim_products"], w["dim_sellers"]
     ),
     "cohort_retention": lambda w: facts.cohort_retention(w["order_base"], w["dim_customers"]),
-    "sales_by_city": lambda w: order_marts.sales_by_city(w["fact_orders"]),
-    "monthly_sales": lambda w: order_marts.monthly_sales(w["fact_orders"]),
+    "sales_by_city": lambda w: order_marts.sales_by_city_of(w.cells(order_marts.CITY)),
+    "monthly_sales": lambda w: order_marts.monthly_sales_of(w.cells(order_marts.MONTH)),
     "sales_by_category": lambda w: item_marts.sales_by_category(w["fact_order_items"]),
     "revenue_concentration": lambda w: item_marts.revenue_concentration(w["fact_order_items"]),
     "distance_vs_delivery": lambda w: item_marts.distance_vs_delivery(w["fact_order_items"]),
     "punctuality_vs_score": lambda w: order_marts.punctuality_vs_score(w["fact_orders"]),
-    "delivery_time_by_state": lambda w: order_marts.delivery_time_by_state(w["fact_orders"]),
-    "order_status_mix": lambda w: order_marts.order_status_mix(w["fact_orders"]),
+    "delivery_time_by_state": lambda w: order_marts.delivery_time_by_state_of(
+        w.cells(order_marts.DAYS)
+    ),
+    "order_status_mix": lambda w: order_marts.order_status_mix_of(w.cells(order_marts.STATUS)),
     "score_by_category": lambda w: item_marts.score_by_category(w["fact_order_items"]),
     "freight_erosion": lambda w: item_marts.freight_erosion(w["fact_order_items"]),
     "seller_scorecard": lambda w: item_marts.seller_scorecard(
@@ -59,10 +61,14 @@ MODELS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     "payment_method_mix": lambda w: order_marts.payment_method_mix(
         w["stg_payments"], w["order_base"]
     ),
-    "take_rate": lambda w: order_marts.take_rate(w["fact_orders"], w.commission, w.payment_fee),
-    "ticket_by_state": lambda w: order_marts.ticket_by_state(w["fact_orders"]),
+    "take_rate": lambda w: order_marts.take_rate_of(
+        w.cells(order_marts.MONTH, ["purchase_month"]), w.commission, w.payment_fee
+    ),
+    "ticket_by_state": lambda w: order_marts.ticket_by_state_of(
+        w.cells(order_marts.DAYS, order_marts.STATE)
+    ),
     "executive_summary": lambda w: order_marts.executive_summary(
-        w["fact_orders"], w["dim_customers"]
+        w["fact_orders"], w["dim_customers"], w.cells(order_marts.DAYS, ["delivery_days"])
     ),
 }
 
@@ -87,6 +93,19 @@ BY_ORDER: dict[str, Callable[["Warehouse"], DataFrame]] = {
 BY_MONTH = Layout(partition_by=("purchase_month",))
 LAYOUTS = {"order_base": BY_MONTH, "fact_order_items": BY_MONTH}
 
+# Marts that add up cells of the order fact. A build that writes several of them writes the cells
+# first, in one pass over the fact.
+OF_CELLS = {
+    "sales_by_city",
+    "monthly_sales",
+    "delivery_time_by_state",
+    "order_status_mix",
+    "take_rate",
+    "ticket_by_state",
+    "executive_summary",
+}
+ORDER_CELLS = "order_cells"
+
 # Tables that a build writes at the same time
 WRITERS = 4
 
@@ -164,6 +183,7 @@ class Warehouse:
         self._models: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
         self._by_order: dict[str, DataFrame] = {}
+        self._cells: DataFrame | None = None
 
     def plan(self, name: str) -> DataFrame:
         """The model as a plan over the tables it reads, whether or not it is written."""
@@ -196,6 +216,13 @@ class Warehouse:
         for name in SHARED:
             if name in names or len(names) > 1:
                 self.table(name)
+        due = [name for name in names if name not in self._tables and name not in self._kept]
+        if not self.built and self._cells is None and len(OF_CELLS & set(due)) > 1:
+            every = order_marts.all_cells(self["fact_orders"])
+            self._cells = self.store.replace(every, ORDER_CELLS, layout=Layout(("cells",)))
+        for name in due:
+            # Plans of before the cells were there
+            self._models.pop(name, None)
         with ThreadPoolExecutor(WRITERS) as pool:
             list(pool.map(self.table, names))
 
@@ -218,6 +245,12 @@ class Warehouse:
                 self._by_order = dict(zip(BY_ORDER, pool.map(write, BY_ORDER)))
         return self._by_order
 
+    def cells(self, name: str, keys: list[str] | None = None) -> DataFrame:
+        """Cells of the order fact, as a build wrote them; else coarse ones, by the given keys."""
+        if self._cells is None:
+            return order_marts.cells(self["fact_orders"], name, keys)
+        return self._cells.where(F.col("cells") == name)
+
     def figures(self, name: str) -> dict[str, str | None]:
         """The figures of a table, which is written if it is not."""
         table, kept = self.table(name), self.store.figures(name)
