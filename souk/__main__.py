@@ -4,6 +4,7 @@
     spark-submit ... -m souk build --store URI [--select MODEL ...] [--commission 0.18]
     spark-submit ... -m souk test  --store URI
     spark-submit ... -m souk show  --store URI MODEL
+    spark-submit ... -m souk sql   --store URI "select ... from MODEL ..."
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     build.add_argument("--payment-fee", type=float, default=labels.PAYMENT_FEE)
     job("test")
     job("show").add_argument("model", choices=list(MODELS))
+    job("sql").add_argument("statement", help="a query over the models of the last build")
     return parser.parse_args(argv)
 
 
@@ -53,7 +55,11 @@ def main(argv: list[str], spark: SparkSession) -> int:
     if args.job == "build":
         Warehouse(spark, raw, store, args.commission, args.payment_fee).build(args.select)
         return 0
-    built = Warehouse(spark, raw, store, built=True)
+    built = Warehouse.opened(spark, raw, store)
+    if args.job == "sql":
+        built.publish(built.defined())
+        spark.sql(args.statement).show(truncate=False)
+        return 0
     if args.job == "show":
         built[args.model].show(truncate=False)
         return 0

@@ -7,6 +7,7 @@ a re-read. Every other model is a plan over those tables.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -106,6 +107,9 @@ OF_CELLS = {
 }
 ORDER_CELLS = "order_cells"
 
+# What the models of the last build are
+DEFINITIONS = "definitions"
+
 # Tables that a build writes at the same time
 WRITERS = 4
 
@@ -260,8 +264,31 @@ class Warehouse:
             kept = {key: None if v is None else str(v) for key, v in row.asDict().items()}
         return kept
 
+    @classmethod
+    def opened(cls, spark: SparkSession, raw: Mapping[str, DataFrame], store: TableStore) -> "Warehouse":
+        """The last build of a store, with the rates it was built with. Nothing is written."""
+        kept = json.loads(store.read_note(DEFINITIONS) or "{}")
+        return cls(spark, raw, store, built=True, **kept.get("rates", {}))
+
+    def define(self) -> None:
+        """Keeps what every model is beside the tables, for sessions to come: a table that was
+        written, or a view over others, and the columns of both."""
+        models = {
+            name: {"kind": "view" if name in VIEWS else "table", "columns": self[name].schema.simpleString()}
+            for name in MODELS
+            if name in VIEWS or self.store.has(name)
+        }
+        rates = {"commission": self.commission, "payment_fee": self.payment_fee}
+        self.store.write_note(DEFINITIONS, json.dumps({"rates": rates, "models": models}, indent=1))
+
+    def defined(self) -> list[str]:
+        """The models that the last build left."""
+        kept = json.loads(self.store.read_note(DEFINITIONS) or "{}")
+        return [name for name in MODELS if name in kept.get("models", {})]
+
     def build(self, names: list[str] | None = None) -> None:
-        """Write every selected table in full and publish every model as a temp view.
+        """Write every selected table in full, publish every model as a temp view, and keep the
+        definitions of all of them in the store.
 
         What a selection reads of other tables comes from the last build where there is one.
         """
@@ -269,6 +296,7 @@ class Warehouse:
             self._kept = {name for name in TABLES if name not in names and self.store.has(name)}
         self.tables(names or list(MODELS))
         self.publish(names)
+        self.define()
 
     def publish(self, names: list[str] | None = None) -> None:
         """Make the models available to `spark.sql` under their names."""

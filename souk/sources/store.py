@@ -152,6 +152,19 @@ class TableStore:
         text = read_text(self.spark, f"{self.location(table)}/{FIGURES}")
         return json.loads(text) if text else None
 
+    def write_note(self, name: str, text: str) -> None:
+        """Replace a small text that is kept beside the tables."""
+        beside = f"{self.root}/{VERSIONS}/_next/{name}-{uuid.uuid4().hex}"
+        write_text(self.spark, beside, text)
+        delete_path(self.spark, self._note(name))
+        rename(self.spark, beside, self._note(name))
+
+    def read_note(self, name: str) -> str | None:
+        return read_text(self.spark, self._note(name))
+
+    def _note(self, name: str) -> str:
+        return f"{self.root}/_{name}.json"
+
     def has(self, table: str) -> bool:
         return path_exists(self.spark, self.location(table))
 

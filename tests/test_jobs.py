@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from souk.__main__ import main
+from souk.plans.warehouse import MODELS, Warehouse
 from souk.session import CHECKPOINT_DIR, MB, input_bytes, partition_sizes, rename, shared_folder
 from souk.sources import csv_files
 from souk.sources import store as store_module
+from souk.sources.csv_ingest import LoadedTables
 from souk.sources.store import Layout, TableStore
 
 
@@ -41,6 +43,30 @@ def test_load_build_test_and_show(spark, warehouse, tmp_path, capsys):
     assert "effective_rate" in capsys.readouterr().out
 
 
+def test_views_and_rates_outlast_the_session(spark, warehouse, tmp_path, capsys):
+    files = csv_files.write_all(warehouse.raw, TableStore(spark, str(tmp_path / "files")))
+    store = str(tmp_path / "store")
+    assert main(["load", "--csv", files, "--store", store], spark) == 0
+    assert main(["build", "--store", store, "--commission", "0.25"], spark) == 0
+    files_of_store = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    capsys.readouterr()
+
+    # A session of its own knows no view of the one that built.
+    later = spark.newSession()
+    statement = """select s.order_status, count(*) as n, max(assumed_commission) as rate
+        from stg_orders s join fact_orders using (order_id)
+        cross join (select assumed_commission from take_rate limit 1)
+        group by s.order_status order by n desc, s.order_status limit 1"""
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        later.sql("select * from stg_orders")
+    assert main(["sql", "--store", store, statement], later) == 0
+    assert "delivered" in (out := capsys.readouterr().out) and "0.25" in out
+    assert main(["show", "--store", store, "payments_per_order"], later) == 0
+    opened = Warehouse.opened(later, LoadedTables(TableStore(later, store)), TableStore(later, store))
+    assert set(opened.defined()) == set(MODELS) and opened.commission == 0.25
+    assert {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")} == files_of_store
+
+
 def test_published_models_answer_sql(spark, warehouse):
     warehouse.publish(["order_status_mix", "fact_orders"])
     shares = spark.sql("select sum(orders) as n from order_status_mix").first()["n"]
