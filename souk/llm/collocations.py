@@ -12,8 +12,10 @@ set once and never changed, so every task sees each phrase start in the same sca
 start because others share their cells cost work, not correctness: counts are kept by the phrases
 themselves. The table's size doesn't grow; where it fills up, more phrases are counted.
 
-Each task reduces its slices of text to counts of different phrases before they are shuffled, so
-a frequent phrase is no hot key.
+Each task reduces its slices of text to counts of different phrases before anything is shuffled,
+so a frequent phrase is no hot key. The phrases of a slice that go to one part (by hash) are one row,
+their texts on end, which shuffles at a few bytes for each; rows are taken apart in the part. After
+a scan only the phrases that it counted are summed, over the scans that counted them.
 
 Words are runs of anything but blanks, tabs and ``BREAKS``, in lower case by A-Z only; a phrase
 doesn't cross one of ``BREAKS``, a text or a language. A null text has no words; a null language
@@ -23,19 +25,20 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from souk.llm import common
 
 MIN_COUNT = 10
-SHARDS = 4
+SHARDS = 2
 TOP = 2000
 # Percent of a phrase's occurrences that lie in one longer phrase from which on it is dropped
 INSIDE_PERCENT = 50
@@ -44,7 +47,7 @@ SCALE = 1000000
 CELLS = 1 << 23
 UNSET = 255
 # Bytes of text that a task counts at once
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 22
 # Parts that the best of a language are first taken from
 SALTS = 64
 
@@ -57,7 +60,12 @@ _IS_WORD[list(BLANKS + BREAKS)] = False
 _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[list(BREAKS)] = True
 
-COUNTS = "lang string, size int, phrase string, n long"
+# Counts of phrases of one part, language, size and first scan; size 0 has the words of a language
+COUNTS = "part int, lang string, size int, scan int, phrases string, counts array<int>"
+# Parts of a table of PART_BYTES. They grow with the root of the input: their size grows too, but
+# not as much, and so does the number of rows that a slice gives.
+PARTS = 64
+PART_BYTES = 1 << 24
 
 
 def seeds(langs: list[str]) -> np.ndarray:
@@ -112,53 +120,79 @@ class Slice:
         own = common.Substrings(data)(offsets[:-1], offsets[1:])
         return common.mix(own[self.word] + seeds(self.langs.to_pylist())[self.lang])
 
-    def counted(self, places: np.ndarray, size: int) -> pa.RecordBatch:
-        """Counts of the different phrases of ``size`` words that start at these places."""
+    def counted(
+        self, places: np.ndarray, size: int, hashes: np.ndarray, first_scan: np.ndarray, parts: int
+    ) -> pa.RecordBatch:
+        """Counts of the different phrases of ``size`` words that start at these places.
+
+        ``hashes`` and ``first_scan`` are those of the phrase at each place.
+        """
         key = self.word[places] * len(self.langs) + self.lang[places]
         for step in range(1, size):
             _, key = np.unique(key, return_inverse=True)
             key = key * len(self.words) + self.word[places + step]
         _, first, n = np.unique(key, return_index=True, return_counts=True)
-        at = places[first]
+        at, part = places[first], (hashes[first] % np.uint64(parts)).astype(np.int64)
+        group = (part * len(self.langs) + self.lang[at]) * (UNSET + 1) + first_scan[first]
+        order = np.argsort(group, kind="stable")
+        group, at, n = group[order], at[order], n[order]
         words = [self.words.take(pa.array(self.word[at + step])) for step in range(size)]
+        phrases = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()))
+        begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        return self._rows(size, group[begin], np.append(begin, len(group)), phrases, n)
+
+    def totals(self) -> pa.RecordBatch:
+        """The number of words of each language."""
+        n = np.bincount(self.lang, minlength=len(self.langs))
+        group = np.arange(len(self.langs)) * (UNSET + 1)
+        phrases = pa.array([""] * len(n), pa.large_string())
+        return self._rows(0, group, np.arange(len(n) + 1), phrases, n)
+
+    def _rows(self, size: int, group: np.ndarray, bounds, phrases, n) -> pa.RecordBatch:
+        """One row for each group of the phrases; groups are of part, language and first scan."""
+        bounds = pa.array(bounds.astype(np.int32))
+        texts = pc.binary_join(pa.ListArray.from_arrays(bounds, phrases.cast(pa.string())), "\n")
+        lang = group // (UNSET + 1) % len(self.langs)
         return pa.RecordBatch.from_arrays(
             [
-                self.langs.take(pa.array(self.lang[at])).cast(pa.string()),
-                pa.array(np.full(len(at), size, np.int32)),
-                pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())).cast(pa.string()),
-                pa.array(n.astype(np.int64)),
+                pa.array((group // (UNSET + 1) // len(self.langs)).astype(np.int32)),
+                self.langs.take(pa.array(lang)).cast(pa.string()),
+                pa.array(np.full(len(group), size, np.int32)),
+                pa.array((group % (UNSET + 1)).astype(np.int32)),
+                texts,
+                pa.ListArray.from_arrays(bounds, pa.array(n.astype(np.int32))),
             ],
-            names=["lang", "size", "phrase", "n"],
+            names=["part", "lang", "size", "scan", "phrases", "counts"],
         )
 
-    def scanned(self, scan: int, shards: int, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def scanned(self, scan: int, shards: int, starts: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
         """Counts of the phrases that this scan is one of the full cycle of."""
+        hashes = self.hashes()
         if scan < shards:
-            yield self.counted(np.arange(len(self)), 1)
+            yield self.totals()
+            places = np.arange(len(self))
+            yield self.counted(places, 1, hashes, np.zeros(len(self), np.int64), parts)
         if not scan or len(self) < 2:
             return
         # A phrase starts with the later of its parts.
-        hashes = self.hashes()
         word = since(starts, hashes).astype(np.int64)
         pair = np.where(self.joined, np.maximum(word[1:], word[:-1]), UNSET)
-        chosen = np.flatnonzero((pair <= scan) & (scan < pair + shards))
-        if len(chosen):
-            yield self.counted(chosen, 2)
         known = np.flatnonzero(pair <= scan)
-        known = known[:-1][known[1:] == known[:-1] + 1]
-        if not len(known):
-            return
-        both = [
-            np.maximum(since(starts, pair_hash(hashes[at], hashes[at + 1])), pair[at])
-            for at in (known, known + 1)
-        ]
-        triple = np.maximum(*both).astype(np.int64)
-        chosen = known[(triple <= scan) & (scan < triple + shards)]
-        if len(chosen):
-            yield self.counted(chosen, 3)
-
-
-def scanned(shard: DataFrame, scan: int, shards: int, starts: np.ndarray) -> DataFrame:
+        pairs = pair_hash(hashes[known], hashes[known + 1])
+        now = scan < pair[known] + shards
+        if now.any():
+            yield self.counted(known[now], 2, pairs[now], pair[known[now]], parts)
+        triple = np.maximum(pair[known], since(starts, pairs))
+        next_ = np.flatnonzero(known[1:] == known[:-1] + 1)
+        first_scan = np.maximum(triple[next_], triple[next_ + 1])
+        now = (first_scan <= scan) & (scan < first_scan + shards)
+        next_, first_scan = next_[now], first_scan[now]
+        if len(next_):
+            at = known[next_]
+            yield self.counted(at, 3, pair_hash(pairs[next_], hashes[at + 2]), first_scan, parts)
+
+
+def scanned(shard: DataFrame, scan: int, shards: int, starts: np.ndarray, parts: int) -> DataFrame:
     """Counts of a scan over the texts (lang, text) of a shard."""
     sent = shard.sparkSession.sparkContext.broadcast(starts)
 
@@ -167,13 +201,19 @@ def scanned(shard: DataFrame, scan: int, shards: int, starts: np.ndarray) -> Dat
             for part in common.steps(batch, "text", SLICE_BYTES):
                 own = Slice(part.column("text"), part.column("lang"))
                 if len(own):
-                    yield from own.scanned(scan, shards, sent.value)
+                    yield from own.scanned(scan, shards, sent.value, parts)
 
     return shard.select("lang", "text").mapInArrow(run, COUNTS)
 
 
 def summed(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    """(lang, size, phrase, scan, n) of the phrases in counts."""
+    # Rows come to their part as they are, so phrases are grouped there without a shuffle of theirs.
+    phrase = F.split("phrases", "\n").alias("phrase")
+    rows = counts.repartition("part").select(
+        "part", "lang", "size", "scan", F.inline(F.arrays_zip(phrase, F.col("counts").alias("n")))
+    )
+    return rows.groupBy("part", "lang", "size", "phrase", "scan").agg(F.sum("n").alias("n")).drop("part")
 
 
 def found_cells(phrases: DataFrame, cells: int) -> np.ndarray:
@@ -214,8 +254,8 @@ def frequent(
     shards: int = SHARDS,
     cells: int = CELLS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Two written tables: (lang, size, phrase, n) of all phrases of one to three words with
-    ``least`` occurrences or more, and (lang, total) with the occurrences of all words."""
+    """(lang, size, phrase, n) of all phrases of one to three words with ``least`` occurrences or
+    more, and (lang, total) with the occurrences of all words of languages with as many."""
     common.ready(docs.sparkSession)
     lower = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, UPPER.lower())
     dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int")
@@ -223,24 +263,32 @@ def frequent(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         lower.alias("text"), dealt.alias("shard"),
     )
-    texts = common.written(texts.where("text <> ''"), "shards", by="shard")
+    size = Observation()
+    texts = texts.where("text <> ''").observe(size, F.sum(F.octet_length("text")).alias("bytes"))
+    texts = common.written(texts, "shards", by="shard")
+    parts = PARTS * max(1, round(math.sqrt((size.get["bytes"] or 0) / PART_BYTES)))
     starts = np.full(cells, UNSET, np.uint8)
     scans: list[DataFrame] = []
+    done: list[DataFrame] = []
     newest = 0
     while len(scans) < newest + shards:
         scan = len(scans)
-        shard = texts.where(F.col("shard") == scan % shards)
-        scans.append(common.written(summed(scanned(shard, scan, shards, starts)), f"scan_{scan}"))
+        counts = scanned(texts.where(F.col("shard") == scan % shards), scan, shards, starts, parts)
+        scans.append(common.written(counts, f"scan_{scan}"))
         # Words and pairs get new occurrences in the first two cycles only.
         if scan < 2 * shards:
-            parts = summed(_all(scans).where("size < 3")).where(F.col("n") >= least)
-            new = found_cells(parts, cells) & (starts == UNSET)
+            own = F.col("scan").between(scan - shards + 1, scan) & (F.col("size") < 3)
+            counted = summed(_all(scans[-shards:]).where(own)).where(F.col("n") >= least)
+            counted = common.written(counted, f"counted_{scan}")
+            done.append(counted.where(F.col("scan") == scan - shards + 1))
+            new = found_cells(counted.where("size > 0"), cells) & (starts == UNSET)
             if new.any():
                 newest = scan + 1
                 starts[new] = newest
-    found = summed(_all(scans)).where(F.col("n") >= least)
-    totals = _all(scans).where("size = 1").groupBy("lang").agg(F.sum("n").alias("total"))
-    return common.written(found, "frequent"), common.written(totals, "totals")
+    triples = summed(_all(scans).where("size = 3")).where(F.col("n") >= least)
+    found = common.written(_all([*done, triples]).drop("scan"), "frequent")
+    totals = found.where("size = 0").select("lang", F.col("n").alias("total"))
+    return found.where("size > 0"), totals
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:

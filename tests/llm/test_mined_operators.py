@@ -284,9 +284,9 @@ def test_phrases_are_counted_once_they_can_be_frequent(spark):
     """A scan counts no phrase whose parts have not come to their count before it."""
     table = spark.createDataFrame([("x", "a b c " * 20 + ". rare one")], "lang string, text string")
     starts = np.full(1 << 12, collocations.UNSET, np.uint8)
-    first = collocations.scanned(table, 0, 2, starts)
-    assert {row.size for row in first.collect()} == {1}
-    parts = collocations.summed(first).where("n >= 10")
+    first = collocations.summed(collocations.scanned(table, 0, 2, starts, 3))
+    assert {row.size for row in first.collect()} == {0, 1}
+    parts = first.where("n >= 10 and size > 0")
     starts[collocations.found_cells(parts, 1 << 12)] = 1
-    second = {row.phrase for row in collocations.scanned(table, 1, 2, starts).where("size > 1").collect()}
-    assert second == {"a b", "b c", "c a"}
+    second = collocations.summed(collocations.scanned(table, 1, 2, starts, 3)).where("size > 1")
+    assert {(row.phrase, row.scan) for row in second.collect()} == {("a b", 1), ("b c", 1), ("c a", 1)}
