@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,6 +176,29 @@ def exact_text(columns: Sequence[str]) -> Column:
     return F.concat(*[F.coalesce(v, F.lit("-")) for v in sized])
 
 
+@dataclass
+class _Cells:
+    """The tagged keys that a row of a table gives."""
+
+    # (condition, cell): keys are there in nearly all rows, faults in few
+    keys: list[tuple[Column, Column]] = field(default_factory=list)
+    faults: list[tuple[Column, Column]] = field(default_factory=list)
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """One row for each cell whose condition holds."""
+        every = [*self.keys, *self.faults]
+        chosen = F.array_compact(F.array(*[F.when(when, cell) for when, cell in every]))
+        # Nearly all rows take the branch without a test of every cell.
+        odd = [F.coalesce(when, F.lit(False)) for when, _ in self.faults]
+        odd += [~when for when, _ in self.keys]
+        plain = F.array(*[cell for _, cell in self.keys])
+        if self.keys:
+            chosen = F.when(reduce(or_, odd), chosen).otherwise(plain)
+        else:
+            chosen = F.when(reduce(or_, odd), chosen)
+        return df.select(F.inline(chosen))
+
+
 def all_failures(tables: dict[str, TableChecks]) -> DataFrame:
     """(check, table, columns, failures) of every check on all tables, zeros included.
 
@@ -186,7 +211,7 @@ def all_failures(tables: dict[str, TableChecks]) -> DataFrame:
     tags: dict[tuple, int] = {}
     slots: dict[int, int] = {}
     declared: list[tuple[str, str, str, int, int]] = []
-    cells: dict[str, list[Column]] = {name: [] for name in tables}
+    cells = {name: _Cells() for name in tables}
 
     def tag(key: tuple) -> int:
         return tags.setdefault(key, len(tags))
@@ -199,29 +224,25 @@ def all_failures(tables: dict[str, TableChecks]) -> DataFrame:
         for (check, columns), condition in checks.failing.items():
             group = tag((check, name, columns))
             declared.append((check, name, columns, group, 0))
-            cells[name].append(F.when(condition, cell(group, 0, none)))
+            cells[name].faults.append((condition, cell(group, 0, none)))
         for c in checks.combinations:
             group = tag(("unique_combination", name, *c))
             declared.append(("unique_combination", name, ", ".join(c), group, 0))
-            cells[name].append(cell(group, 0, exact_text(c)))
+            cells[name].keys.append((F.lit(True), cell(group, 0, exact_text(c))))
     parents = {target for checks in tables.values() for target in checks.references.values()}
     for name, checks in tables.items():
         declared += [("unique", name, c, tag((name, c)), 0) for c in checks.unique]
         for c in dict.fromkeys([*checks.unique, *(c for t, c in sorted(parents) if t == name)]):
             value = column(c).cast("string")
-            cells[name].append(F.when(value.isNotNull(), cell(tag((name, c)), 0, value)))
+            cells[name].keys.append((value.isNotNull(), cell(tag((name, c)), 0, value)))
         for c, target in checks.references.items():
             group = tag(target)
             slots[group] = slots.get(group, 0) + 1
             declared.append(("relationships", name, c, group, slots[group]))
             value = column(c).cast("string")
-            cells[name].append(F.when(value.isNotNull(), cell(group, slots[group], value)))
+            cells[name].keys.append((value.isNotNull(), cell(group, slots[group], value)))
     keys = union_all(
-        [
-            tables[name].rows.select(F.inline(F.array_compact(F.array(*own))))
-            for name, own in cells.items()
-            if own
-        ]
+        [own.rows(tables[name].rows) for name, own in cells.items() if own.keys or own.faults]
     )
     most = max(slots.values(), default=0)
     counts = [F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(most + 1)]

@@ -111,7 +111,7 @@ ORDER_CELLS = "order_cells"
 DEFINITIONS = "definitions"
 
 # Tables that a build writes at the same time
-WRITERS = 4
+WRITERS = 8
 
 
 def rate_figures(columns: Iterable[str]) -> dict[str, Column]:

@@ -31,6 +31,8 @@ PENDING_STATUSES = [
 SELLERS_PER_SUPPLIER = 20
 UNTRANSLATED_BRAND = "Brand#7"
 UNLOCATED_NATION = 24
+# Buyers of a state that live in its one large city
+CAPITAL_HAS_EVERY = 3
 PAID_ELSEWHERE_EVERY = 499
 UNKNOWN_ORDER_EVERY = 5 * PAID_ELSEWHERE_EVERY
 ITEM_ORDER = [
@@ -151,7 +153,9 @@ class DriverTables:
             key.alias("customer_id"),
             cust.alias("customer_unique_id"),
             (F.col("c_nationkey") * 100 + cust % 10).cast("long").alias("customer_zip_code_prefix"),
-            F.concat(F.lit("city_"), ((cust + key % 3) % 60).cast("string")).alias("customer_city"),
+            F.when(cust % CAPITAL_HAS_EVERY == 0, "capital")
+            .otherwise(F.concat(F.lit("city_"), ((cust + key % 3) % 60).cast("string")))
+            .alias("customer_city"),
             F.col("n_name").alias("customer_state"),
         )
 

@@ -85,7 +85,8 @@ from order_states
 
 MODELS["stg_customers"] = """
 select o_orderkey as customer_id, c_custkey as customer_uid,
-  'city_' || cast((c_custkey + o_orderkey % 3) % 60 as varchar) as city,
+  case when c_custkey % 3 = 0 then 'capital'
+    else 'city_' || cast((c_custkey + o_orderkey % 3) % 60 as varchar) end as city,
   n_name as state,
   cast(c_nationkey * 100 + c_custkey % 10 as bigint) as zip_prefix
 from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
