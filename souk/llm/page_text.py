@@ -9,7 +9,9 @@ The scores come from labelled pages: those whose own markup names their main par
 ``SAMPLE_BYTES`` bytes, by a hash of the page. Elements are told apart by name and class; unseen
 classes go by their name, unseen names by all pages.
 
-Within the part found, elements that are not main text by name or by class are left out.
+Within the part found, elements that are not main text by name or by class are left out, but for
+those around it, which hold at least ``AROUND`` of its words: names and classes of a body, a form or
+a wrapper say nothing about what they wrap. A header is left out only outside of article and main.
 Character references are decoded; white space in a block becomes one space; blocks are joined by
 a line feed. A null or empty page, or one whose best part scores below ``MIN_SCORE``, has an
 empty text. Repeated rows are read alike, each on its own. Without labelled pages all words
@@ -35,13 +37,15 @@ SAMPLE_BYTES = 100_000
 TAG_COST = 3.0
 LEAST = 0.01
 MIN_SCORE = 0.5
+# Share of the part's words that an element around it holds
+AROUND = 0.9
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe)\b(?:\"[^\"]*\"|'[^']*'|[^\"'>])*>"
+    r"|<(script|style|noscript|template|textarea|svg|iframe)\b(?:\"[^\"]*\"|'[^']*'|[^\"'<>])*>"
     r".*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>"
-    r"|<[!?][^>]*>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'<>])*)>"
+    r"|<[!?][^<>]*>"
     r"|([^<]+|<)",
     re.S | re.I,
 )
@@ -66,7 +70,8 @@ NEVER_CLASS = re.compile(
 
 class Item:
     """A tag, or the words between two tags: key of the element, text and number of words (text
-    is None for a tag), block, whether it is left out, and depth within article or main.
+    is None for a tag), block, number of the innermost element to be left out, and depth within
+    article or main.
 
     Words in a row have one element and so one score; the best part never starts or ends among
     them, hence they are one item.
@@ -79,19 +84,61 @@ class Item:
         self.block, self.out, self.mark = block, out, mark
 
 
-def items(html: str) -> list[Item]:
-    """The words and tags of a page in order."""
+class Open:
+    """The open elements. All steps take the same time, but for closing several at once."""
+
+    def __init__(self):
+        # (name, key, what `out` was before)
+        self.stack: list[tuple[str, str, int]] = []
+        self.places: dict[str, list[int]] = {}
+        # Open elements that are neither inline nor a paragraph, up to each place
+        self.blocks: list[int] = [0]
+        # Elements to be left out have numbers from 1; the innermost open one, and the one around each
+        self.out = 0
+        self.around = [0]
+        self.mark = 0
+
+    def add(self, name: str, key: str, left: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.blocks.append(self.blocks[-1] + (name not in INLINE and name != "p"))
+        self.mark += name in ("article", "main")
+        self.stack.append((name, key, self.out))
+        if left:
+            self.around.append(self.out)
+            self.out = len(self.around) - 1
+
+    def last(self, name: str) -> int | None:
+        places = self.places.get(name)
+        return places[-1] if places else None
+
+    def close(self, at: int) -> None:
+        """Closes the element at a place and all within."""
+        while len(self.stack) > at:
+            name, _, self.out = self.stack.pop()
+            self.places[name].pop()
+            self.blocks.pop()
+            self.mark -= name in ("article", "main")
+
+    def close_paragraph(self) -> None:
+        """A new paragraph ends an open one, if only inline elements are open in it."""
+        at = self.last("p")
+        if at is not None and self.blocks[at] == self.blocks[-1]:
+            self.close(at)
+
+
+def items(html: str) -> tuple[list[Item], list[int]]:
+    """The words and tags of a page in order, and for each element to be left out the next such
+    around it."""
     found: list[Item] = []
-    stack: list[tuple[str, str, bool]] = []
-    block = mark = 0
-    out = 0
+    open_ = Open()
+    block = 0
     for match in TOKEN.finditer(html):
         raw, closing, name, rest, text = match.groups()
         if text is not None:
-            key = stack[-1][1] if stack else ""
+            key = open_.stack[-1][1] if open_.stack else ""
             if "&" in text:
                 text = unescape(text)
-            found.append(Item(key, text, len(text.split()), block, out > 0, mark))
+            found.append(Item(key, text, len(text.split()), block, open_.out, open_.mark))
             continue
         if name is None:
             continue
@@ -99,37 +146,42 @@ def items(html: str) -> list[Item]:
         names = " ".join(x for y in NAMES.findall(rest) for x in y if x).lower()
         key = f"{name} {names}".strip()
         if name == "br":
-            found.append(Item("br", None, 0, block, out > 0, mark))
-            found.append(Item("br", " ", 0, block, out > 0, mark))
+            found.append(Item("br", None, 0, block, open_.out, open_.mark))
+            found.append(Item("br", " ", 0, block, open_.out, open_.mark))
             continue
         if name not in INLINE:
             block += 1
         if closing:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            own = mark
+            at = open_.last(name)
             if at is not None:
-                key = stack[at][1]
-                for closed, _, left in stack[at:]:
-                    out -= left
-                    mark -= closed in ("article", "main")
-                del stack[at:]
-                own = mark
-            found.append(Item("/" + key, None, 0, block, out > 0, own))
+                key = open_.stack[at][1]
+                open_.close(at)
+            found.append(Item("/" + key, None, 0, block, open_.out, open_.mark))
         else:
-            found.append(Item(key, None, 0, block, out > 0, mark))
+            found.append(Item(key, None, 0, block, open_.out, open_.mark))
             if name not in VOID and not rest.rstrip().endswith("/"):
-                # A new paragraph ends an open one.
-                if name == "p" and stack and any(x[0] == "p" for x in stack):
-                    at = max(i for i, x in enumerate(stack) if x[0] == "p")
-                    if all(x[0] in INLINE or x[0] == "p" for x in stack[at:]):
-                        for _, _, left in stack[at:]:
-                            out -= left
-                        del stack[at:]
-                left = name in NEVER or bool(NEVER_CLASS.search(names))
-                stack.append((name, key, left))
-                out += left
-                mark += name in ("article", "main")
-    return found
+                if name == "p":
+                    open_.close_paragraph()
+                never = name in NEVER and not (name == "header" and open_.mark)
+                open_.add(name, key, never or bool(NEVER_CLASS.search(names)))
+    return found, open_.around
+
+
+def hidden(part: list[Item], around: list[int]) -> list[bool]:
+    """Whether what is in each element to be left out goes: not if all open ones are around the
+    part, rather than in it."""
+    words = [0] * len(around)
+    for x in part:
+        if x.text is not None:
+            words[x.out] += x.words
+    total = sum(words)
+    # Elements come after those around them.
+    for number in range(len(around) - 1, 0, -1):
+        words[around[number]] += words[number]
+    gone = [False] * len(around)
+    for number in range(1, len(around)):
+        gone[number] = gone[around[number]] or words[number] < AROUND * total
+    return gone
 
 
 def _names(key: str) -> Iterator[str]:
@@ -146,7 +198,7 @@ def learn(pages: list[str]) -> Weights:
     """Scores of words by element and of tags, from pages that name their main part."""
     seen = {kind: (Counter(), Counter()) for kind in ("word", "tag")}
     for html in pages:
-        found = items(html)
+        found, _ = items(html)
         opened = sum(x.text is None and x.key.split(" ")[0] in ("article", "main") for x in found)
         if opened != 1:
             continue
@@ -199,13 +251,15 @@ def _scores(found: list[Item], weights: Weights) -> list[float]:
 
 def extract(html: str | None, weights: Weights) -> str:
     """The main text of a page."""
-    found = items(html or "")
+    found, around = items(html or "")
     start, end, score = best_part(_scores(found, weights))
     if score < MIN_SCORE:
         return ""
+    part = found[start:end]
+    gone = hidden(part, around)
     blocks: dict[int, list[str]] = {}
-    for x in found[start:end]:
-        if x.text is not None and not x.out:
+    for x in part:
+        if x.text is not None and not gone[x.out]:
             blocks.setdefault(x.block, []).append(x.text)
     texts = (" ".join("".join(own).split()) for own in blocks.values())
     return "\n".join(text for text in texts if text)
