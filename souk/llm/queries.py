@@ -133,7 +133,7 @@ tests as (
 test_places as (
     select t, item_id, least(len(w), 13) as size, w,
         unnest(range(1, len(w) - least(len(w), 13) + 2)) as i
-    from tests where len(w) > 0 and item_id is not null
+    from tests where len(w) > 0
 ),
 test_windows as (
     select distinct item_id, size, array_to_string(w[i:i + size - 1], ' ') as win from test_places
@@ -153,7 +153,7 @@ words_hit as (
 ),
 items_met as (
     select r, count(*) as n_items, string_agg(id, ',' order by id) as joined
-    from (select distinct r, item_id::varchar as id from met) group by r
+    from (select distinct r, item_id::varchar as id from met where item_id is not null) group by r
 )
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit,
     coalesce(n_items, 0) as n_items, sha256(coalesce(joined, '')) as items_sha256,

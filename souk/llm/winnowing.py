@@ -12,7 +12,8 @@ The test side is read in blocks of at most ``BLOCK_BYTES`` of text, whatever its
 block is sent to the tasks and meets every document, so documents are never shuffled.
 
 Null or empty texts have no words, no hits and are clean. Repeated rows are judged alike, each
-on its own. Items without words or without an id are left out. Other columns pass through.
+on its own. Items without words are left out. An item without an id counts like any other, but
+has no place in the list of ids. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -158,9 +159,9 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
+def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str | None, bytes]]]:
     """The test items in parts of about ``BLOCK_BYTES``, dealt by a hash of id and text."""
-    rows = benchmark.where(F.col(item_id).isNotNull() & F.col(text).isNotNull()).select(
+    rows = benchmark.where(F.col(text).isNotNull()).select(
         F.col(item_id).cast("string").alias("id"), F.col(text).cast("binary").alias("text")
     )
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("size")).first()["size"]
@@ -218,7 +219,7 @@ def _one_pass(
                 found = word_runs(data, offsets)
                 first = found[-1]
                 spans, items = test.hits(*found)
-                ids = [{test.ids[i] for i in own} for own in items]
+                ids = [{test.ids[i] for i in own} - {None} for own in items]
                 if before:
                     for i, own in enumerate(part.column("hit_spans").to_pylist()):
                         spans[i] += [(x["start"], x["stop"]) for x in own]
