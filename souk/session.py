@@ -22,6 +22,8 @@ MB = 1024 * 1024
 # Input one shuffle partition should stand for, and one scan task
 SHUFFLE_BYTES = 128 * MB
 SCAN_BYTES = 128 * MB
+# Shuffled bytes of a task that writes rebalanced rows
+LEAST_REBALANCED, MOST_REBALANCED = 4 * MB, 64 * MB
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -43,7 +45,10 @@ def partition_sizes(size: int, partitions: int) -> dict[str, str]:
     (skewed joins aside), so a shuffle starts with many.
     """
     wanted = -(-size // SHUFFLE_BYTES)
+    # A rebalance before a write makes tasks of this size; small tables keep all cores busy.
+    rebalanced = min(MOST_REBALANCED, max(LEAST_REBALANCED, size // partitions))
     return {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(rebalanced),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(wanted, partitions)),
         "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
     }
