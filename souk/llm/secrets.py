@@ -16,8 +16,9 @@ those named.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -156,6 +157,9 @@ def novel_spans(raw: bytes, taken: list[Span]) -> list[Span]:
     if not DIGIT.search(raw):
         return found
     lines: list[tuple[int, int]] | None = None
+    # Where the taken spans begin, and where the longest so far ends
+    begins = sorted(a for _, a, _ in taken)
+    ends = list(accumulate((b for _, _, b in sorted(taken, key=lambda x: x[1])), max))
 
     def sensitive(place: int) -> bool:
         line = bisect_right(lines, (place, len(raw))) - 1
@@ -170,7 +174,8 @@ def novel_spans(raw: bytes, taken: list[Span]) -> list[Span]:
             lines = contexts(raw)
         if not sensitive(start):
             continue
-        if any(a < end and start < b for _, a, b in taken):
+        before = bisect_left(begins, end)
+        if before and ends[before - 1] > start:
             continue
         if novelty(text, primer(raw, start, end, sensitive)) >= MIN_NOVELTY:
             found.append(("novel", start, end))

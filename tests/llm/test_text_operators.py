@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -10,6 +12,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from souk.llm import page_text, piece_codec, secrets, toxicity, winnowing
@@ -106,7 +109,9 @@ def test_winnowing_finds_every_window(spark, corpus, texts):
     some = word.findall(texts[1].translate(low))
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     items += [("s1", " ".join(some[3:5])), ("s2", " ".join(some[7:16])), ("e", " . "), ("n", None)]
-    test = spark.createDataFrame([*items, (None, " ".join(some))], "item_id string, text string")
+    # By the contract, words of an item without an id are hit too.
+    items += [(None, " ".join(some))]
+    test = spark.createDataFrame(items, "item_id string, text string")
     found = winnowing.contamination(corpus, test)
     windows: dict[tuple, set] = {}
     for name, text in items:
@@ -122,6 +127,7 @@ def test_winnowing_finds_every_window(spark, corpus, texts):
                 if own := windows.get(tuple(words[i : i + size])):
                     hit.update(range(i, i + size))
                     names |= own
+        names.discard(None)
         assert (row.n_words, row.n_hit, row["items"]) == (len(words), len(hit), sorted(names))
         assert row.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(words))
 
@@ -194,6 +200,22 @@ def test_long_random_strings_are_novel(alphabet, size):
         assert secrets.scan(f"private cert is {twice}".encode()) == []
 
 
+def test_many_secrets_in_one_text_take_time_in_proportion():
+    rng = random.Random(2)
+
+    def lines(n):
+        parts = ["Zq" + "".join(rng.choices("GHIJKLMNOPQRSTUVWXYZ23456789", k=30)) for _ in range(n)]
+        return "\n".join(f'password = "abcdefgh{i:08}" token key {part}' for i, part in enumerate(parts)).encode()
+
+    times = []
+    for n in (1000, 16000):
+        text = lines(n)
+        start = time.perf_counter()
+        assert Counter(kind for kind, _, _ in secrets.scan(text)) == {"assign": n, "novel": n}
+        times.append(time.perf_counter() - start)
+    assert times[1] < 16 * 3 * times[0]
+
+
 def test_a_sensitive_word_counts_for_the_whole_line():
     rng = random.Random(8)
     parts = ["A1" + "".join(rng.choices("GHIJKLMNOPQRSTUVWXYZ23456789", k=40)) for _ in range(3)]
@@ -226,6 +248,69 @@ def test_page_parts_that_are_not_text():
         assert page_text.extract(odd, weights) in ("", "<<>>")
 
 
+WRAPPED = [
+    "<body class='single no-sidebar'>{}</body>",
+    "<body class='comments-open'><div>{}</div></body>",
+    "<body><article class='post has-sidebar'>{}</article></body>",
+    "<article class='related-post'>{}</article>",
+    "<div class='with-banner'>{}</div>",
+    "<form action=x>{}</form>",
+    "<main class='has-sidebar'><article>{}</article></main>",
+]
+
+
+@pytest.mark.parametrize("wrap", WRAPPED)
+def test_names_around_the_main_text_say_nothing(wrap):
+    body = " ".join(f"word{i} goes on and on." for i in range(300))
+    noise = "<nav>Home</nav>{}<footer>Imprint</footer>"
+    weights = page_text.learn([noise.format(f"<article><p>{body}</p></article>")] * 5)
+    parts = f"<p>{body}</p><div class='comments'><p>First! So good.</p></div><p>{body}</p>"
+    assert page_text.extract(noise.format(wrap.format(parts)), weights) == f"{body}\n{body}"
+
+
+def test_a_header_in_the_article_has_its_title():
+    body = "Main words of the article go on for a while here. " * 9
+    title = "A title of some length that says what the article is about"
+    html = f"<header>Site</header><article><header><h1>{title}</h1></header><p>{body}</p></article>"
+    assert page_text.extract(html, page_text.learn([html] * 5)) == f"{title}\n{body.strip()}"
+
+
+def test_broken_pages_take_time_in_proportion():
+    weights = page_text.learn(["<nav>a</nav><article><p>b c d</p></article>"] * 3)
+    n = 30000
+    odd = ["<a " * n, "<div>" * n + "</b>" * n, "<div><p>x" * n, "<nav>" * n + "x", '<a "' * n, "<!" * n]
+    for html in odd:
+        start = time.perf_counter()
+        page_text.extract(html, weights)
+        assert time.perf_counter() - start < 5, html[:10]
+
+
+def test_page_text_of_odd_rows(spark):
+    rows = [(1, "u", None), (1, "u", None), (None, None, ""), (2, "v", "plain words " * 5), (2, "v", "plain words " * 5)]
+    rows += [(3, "w", "<p>" + "long text here " * 200000 + "</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x"))
+    got = page_text.main_text(pages)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    texts = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in got.collect())
+    plain, long = ("plain words " * 5).strip(), ("long text here " * 200000).strip()
+    assert texts == [
+        (0, "", "", 0), (1, "u", "", 0), (1, "u", "", 0), (2, "v", plain, len(plain)),
+        (2, "v", plain, len(plain)), (3, "w", long, len(long)),
+    ]
+    assert page_text.main_text(pages.limit(0)).count() == 0
+
+
+def test_items_without_an_id_are_hit_but_not_listed(spark, docs):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (2, "nothing of it " * 9), (3, " ".join(words[:20]) + " own " * 30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_hit", F.lit(7))
+    items = [(None, " ".join(words)), ("b", " ".join(words[2:18])), (None, None), ("c", "")]
+    test = spark.createDataFrame(items, "item_id string, text string")
+    found = winnowing.contamination(table, test).collect()
+    got = {r.doc_id: (r.n_hit, list(r["items"]), r.contaminated) for r in found}
+    assert got == {1: (40, ["b"], True), 2: (0, [], False), 3: (20, ["b"], True)}
+
+
 def test_best_part_against_all_parts():
     rng = random.Random(4)
     for _ in range(200):
