@@ -13,10 +13,16 @@ from souk.llm import common, line_dedup, piece_codec, simhash, toxicity, winnowi
 from souk.llm.queries import PIECE_MODEL
 
 
+def _as_row(docs: DataFrame) -> DataFrame:
+    """(row, text): operators add columns whose names documents may have too."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "text")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model, fitted on the labelled ones among them, lets pass."""
     model = toxicity.trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where(~F.col("toxic")).select(*docs.columns)
+    scored = toxicity.score(_as_row(docs), model, keep=["row"])
+    return scored.where(~F.col("toxic")).select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +42,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that don't quote the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = winnowing.contamination(docs, benchmark)
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    found = winnowing.contamination(_as_row(docs), benchmark, keep=["row"])
+    return found.where(~F.col("contaminated")).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
