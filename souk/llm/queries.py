@@ -54,7 +54,8 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+    found = suffix_dedup.report(table(spark, sf_dir, "documents"))
+    return found.withColumn("repeated", F.col("n_removed") > 0)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

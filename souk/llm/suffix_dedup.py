@@ -23,7 +23,7 @@ cells, down to one string.
 
 Null texts are empty. Rows count each, so a row that repeats another of ``MIN_BYTES`` bytes
 loses all of them, and so does the other. Matches never cross documents. Texts of any length are
-read whole. Other columns pass through ``apply``, but for one named kept.
+read whole, in overlapping parts of ``PART_STRINGS`` strings. Other columns pass through ``apply``, but for one named kept.
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ MOST_STRETCHES = 512
 BLOCK_BYTES = 1 << 20
 # Strings in the cells that a hot anchor's stretches are cut into first
 CELL = 49
+# Strings that start in a part of a text whose stretches are found at once
+PART_STRINGS = 1 << 20
 # Bits of a hash that decide which part is least; the others hold its place
 PLACE_BITS = 26
 
@@ -90,21 +92,26 @@ def found_stretches(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for rows in common.steps(batch, "data"):
                 data, offsets = common.flat(rows.column("data"))
-                text, first, n, distance, anchor, stretch = stretches(data, offsets)
-                if not len(text):
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("id").take(pa.array(text)),
-                        rows.column("digest").take(pa.array(text)),
-                        pa.array(anchor.view(np.int64)),
-                        pa.array(stretch.view(np.int64)),
-                        pa.array((first - offsets[text]).astype(np.int32)),
-                        pa.array(n.astype(np.int32)),
-                        pa.array(distance.astype(np.int32)),
-                    ],
-                    names=["id", "digest", "anchor", "stretch", "lo", "n", "distance"],
-                )
+                for start in range(0, max(1, len(data)), PART_STRINGS):
+                    # Parts share the bytes of strings that start in one and end in the next. Only
+                    # a text that is a step of its own has several.
+                    part = data[start : start + PART_STRINGS + MIN_BYTES - 1]
+                    bounds = np.clip(offsets - start, 0, len(part))
+                    text, first, n, distance, anchor, stretch = stretches(part, bounds)
+                    if not len(text):
+                        continue
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            rows.column("id").take(pa.array(text)),
+                            rows.column("digest").take(pa.array(text)),
+                            pa.array(anchor.view(np.int64)),
+                            pa.array(stretch.view(np.int64)),
+                            pa.array((start + first - offsets[text]).astype(np.int32)),
+                            pa.array(n.astype(np.int32)),
+                            pa.array(distance.astype(np.int32)),
+                        ],
+                        names=["id", "digest", "anchor", "stretch", "lo", "n", "distance"],
+                    )
 
     return docs.mapInArrow(run, f"id {kind}, digest long, {STRETCHES}")
 

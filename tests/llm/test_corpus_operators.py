@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from souk.llm import components, host_rules, line_dedup, sharding, simhash, suffix_dedup
@@ -247,6 +248,26 @@ def test_repeated_passages(spark, docs, monkeypatch, most):
     assert suffix_dedup.report(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("strings", [1, 333, 5000])
+def test_repeats_beyond_the_parts_of_a_long_text(spark, monkeypatch, strings):
+    monkeypatch.setattr(suffix_dedup, "PART_STRINGS", strings)
+    monkeypatch.setattr(suffix_dedup, "PLACE_BITS", 14)
+    rng = random.Random(9)
+
+    def text(n):
+        return "".join(rng.choice("abcd é") for _ in range(n))
+
+    passage = text(700)
+    rows = [(1, text(9000) + passage + text(3000) + passage[100:600]), (2, passage[50:640] + text(50))]
+    rows += [(3, text(2000)), (4, None), (5, text(401)), (6, passage)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    if strings == 1:
+        table = table.where("doc_id <> 1")
+    want = covered([(r.doc_id, (r.text or "").encode()) for r in table.collect()])
+    assert sorted((tuple(r) for r in suffix_dedup.report(table).collect()), key=repr) == want
+    assert sum(row[2] for row in want) > 1000
+
+
 def test_expansion_against_counting():
     rng = random.Random(5)
     for _ in range(40):
@@ -271,7 +292,7 @@ def test_pipeline_stages(spark, corpus):
             assert out.columns == documents.columns
             documents = out
     assert 0 < out.count() <= documents.count() < corpus.count()
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
 
 
 def test_pipeline_takes_odd_rows(spark, docs, empty):
@@ -282,3 +303,17 @@ def test_pipeline_takes_odd_rows(spark, docs, empty):
             assert documents.columns == table.columns
         rows = corpus_pipeline.STAGES[-1][1](spark, documents, SMALL).count()
         assert rows == documents.count() <= table.count()
+
+
+CLASHING = ("toxic", "severity", "p_toxic", "n_hit", "n_words", "items", "contaminated", "row", "h", "line", "spans")
+CLASHING += ("hit_spans", "fingerprint", "component_id", "kept", "digest", "data", "id", "place", "lines", "part")
+
+
+def test_stages_leave_columns_of_any_name_alone(spark, corpus):
+    own = [F.concat(F.lit(f"own {name} "), F.col("doc_id")).alias(name) for name in CLASHING]
+    documents = corpus.select("*", *own)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        documents = stage(spark, documents, SMALL)
+        assert documents.columns == [*corpus.columns, *CLASHING]
+    rows = documents.collect()
+    assert rows and all(row[name] == f"own {name} {row.doc_id}" for row in rows for name in CLASHING)
