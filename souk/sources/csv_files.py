@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from souk.sources.raw_tables import RAW_TABLES
 from souk.sources.store import TableStore
 
+# Each writing task leaves one file, so a file is bounded by what a task reads.
+COMPRESSION = "gzip"
+
 
 def write_all(raw: Mapping[str, DataFrame], store: TableStore) -> str:
     """Write `<table>.csv` folders and return the folder that holds them."""
@@ -32,14 +35,16 @@ def write_all(raw: Mapping[str, DataFrame], store: TableStore) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option(
+        "compression", COMPRESSION
+    ).csv(path)
 
 
 def write_lines(lines: DataFrame, columns: tuple[str, ...], path: str, mode: str) -> None:
     """Ready-made lines below a header: one unquoted column whose name is the header."""
     lines.toDF(",".join(columns)).write.mode(mode).option("header", True).option(
         "sep", "\u0001"
-    ).option("quote", "").csv(path)
+    ).option("quote", "").option("compression", COMPRESSION).csv(path)
 
 
 def _line(*fields: Column) -> Column:

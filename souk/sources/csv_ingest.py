@@ -65,6 +65,10 @@ _OPEN_AT_END = f"^(?:{_FIELD},)*+{_QUOTED}\\z"
 _COUNTED = f"\\G(?:{_FIELD},|{_QUOTED}\\z)"
 
 _BLOCK = ["_file", "_block"]
+_CHUNK = [*_BLOCK, "_chunk"]
+
+# A chunk has this many bits' worth of lines at most, so that a window holds no more of them.
+CHUNK_BITS = 14
 
 
 def open_at_end(text: Column) -> Column:
@@ -77,14 +81,14 @@ def field_count(record: Column) -> Column:
     return F.regexp_count(F.concat(record, F.lit(",")), F.lit(_COUNTED))
 
 
-def _with_states(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def _with_states(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """Whether each row begins and ends inside a quoted field, by where its group begins.
 
     A row turns its beginning into its end by (`_plain`, `_quoted`): where it ends if it begins
     outside, and inside, a quoted field. Rows whose two ends agree settle the state whatever
     came before; after them, only the number of rows that swap the two matters.
     """
-    so_far = Window.partitionBy(*keys).orderBy(order)
+    so_far = Window.partitionBy(*keys).orderBy(*order)
     odd_swaps = F.count_if(F.col("_plain") & ~F.col("_quoted")).over(so_far) % 2 == 1
     settled = F.when(F.col("_plain") == F.col("_quoted"), F.col("_plain") != F.col("_odd"))
     df = df.withColumn("_odd", odd_swaps)
@@ -97,9 +101,10 @@ def _with_states(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of all files with their place, and their state for both beginnings of the block.
+    """Lines of all files with their place, and where each ends for both ways it may begin.
 
-    A block is what one scan task reads of a file, so it is bounded by the scan's split size.
+    A block is what one scan task reads of a file, so it is bounded by the scan's split size; a
+    chunk is a run of lines of a block.
     """
     value = F.col("value")
     lines = spark.read.option("lineSep", "\n").text(path).select(
@@ -107,35 +112,74 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
         "value",
-        open_at_end(value).alias("_plain"),
-        open_at_end(F.concat(F.lit('"'), value)).alias("_quoted"),
     )
-    lines = _with_states(lines, _BLOCK, "_line")
-    so_far = Window.partitionBy(*_BLOCK).orderBy("_line")
+    # A line without a quote ends as it begins.
+    quote = F.contains(value, F.lit('"'))
+    return lines.select(
+        *_BLOCK,
+        F.shiftright("_line", CHUNK_BITS).alias("_chunk"),
+        "_line",
+        "value",
+        (quote & open_at_end(value)).alias("_plain"),
+        (~quote | open_at_end(F.concat(F.lit('"'), value))).alias("_quoted"),
+    )
+
+
+def _chunks(lines: DataFrame) -> DataFrame:
+    """One row per chunk, and whether any of its lines may end otherwise than it begins."""
+    return lines.groupBy(*_CHUNK).agg(
+        F.count(F.lit(1)).alias("_lines"),
+        F.min("_line").alias("_first"),
+        F.max(F.col("_plain") | ~F.col("_quoted")).alias("_changing"),
+    )
+
+
+def _stated(lines: DataFrame) -> DataFrame:
+    """Lines with their state and the records begun, for both ways their chunk may begin."""
+    lines = _with_states(lines, _CHUNK, "_line")
+    so_far = Window.partitionBy(*_CHUNK).orderBy("_line")
     for start in (0, 1):
         lines = lines.withColumn(
             f"_record{start}", F.count_if(~F.col(f"_begin{start}")).over(so_far)
         )
-    return lines.withColumn("_bytes", F.sum(F.octet_length(value) + 1).over(so_far))
-
-
-def _blocks(lines: DataFrame) -> DataFrame:
-    """Where each block begins (in a quoted field or not) and the records begun before it."""
-    blocks = lines.groupBy(*_BLOCK).agg(
-        F.max_by("_end0", "_line").alias("_plain"),
-        F.max_by("_end1", "_line").alias("_quoted"),
-        F.max("_record0").alias("_records0"),
-        F.max("_record1").alias("_records1"),
+    return lines
+
+
+def _borders(chunks: DataFrame, lines: DataFrame) -> DataFrame:
+    """Where each chunk begins (in a quoted field or not), the records begun before it in its
+    file, and the first line of its block."""
+    states = lines.select(*_CHUNK, "_line", "_plain", "_quoted")
+    ends = (
+        _stated(states.join(chunks.where("_changing"), _CHUNK, "left_semi"))
+        .groupBy(*_CHUNK)
+        .agg(
+            F.max_by("_end0", "_line").alias("_plain"),
+            F.max_by("_end1", "_line").alias("_quoted"),
+            F.max("_record0").alias("_records0"),
+            F.max("_record1").alias("_records1"),
+        )
+    )
+    # A chunk without changes ends as it begins; outside a field, each of its lines is a record.
+    chunks = chunks.join(ends, _CHUNK, "left").withColumns(
+        {
+            "_plain": F.coalesce("_plain", F.lit(False)),
+            "_quoted": F.coalesce("_quoted", F.lit(True)),
+            "_records0": F.coalesce("_records0", "_lines"),
+            "_records1": F.coalesce("_records1", F.lit(0)),
+        }
     )
-    blocks = _with_states(blocks, ["_file"], "_block")
+    chunks = _with_states(chunks, ["_file"], "_block", "_chunk")
     begun = F.when(F.col("_begin0"), F.col("_records1")).otherwise(F.col("_records0"))
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(
+    earlier = Window.partitionBy("_file").orderBy("_block", "_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    return blocks.select(
-        *_BLOCK,
+    return chunks.select(
+        *_CHUNK,
+        "_first",
+        "_changing",
         F.col("_begin0").alias("_inside"),
         F.coalesce(F.sum(begun).over(earlier), F.lit(0)).alias("_before"),
+        F.min("_first").over(Window.partitionBy(*_BLOCK)).alias("_start"),
     )
 
 
@@ -143,6 +187,14 @@ def lines_table(name: str) -> str:
     return f"{name}_lines"
 
 
+def chunks_table(name: str) -> str:
+    return f"{name}_chunks"
+
+
+def borders_table(name: str) -> str:
+    return f"{name}_borders"
+
+
 def pieces_table(name: str) -> str:
     return f"{name}_pieces"
 
@@ -154,56 +206,80 @@ def long_table(name: str) -> str:
 def record_texts(spark: SparkSession, path: str, store: TableStore, name: str) -> DataFrame:
     """The text of every record, headers and blank lines excluded, and its `_part`.
 
-    Files are split whether or not records span lines. Each block is scanned once for both ways
-    it may begin; a pass over one row per block then tells which way it was, and numbers the
-    records. Only lines of records that span several are brought together, up to
-    `RECORD_BYTES`; the text of a longer record stays in pieces.
+    Files are split whether or not records span lines. Lines are written as they are scanned;
+    a pass over one row per chunk of them tells how each chunk begins, and numbers the records.
+    Only chunks with quotes, or inside a quoted field, are read for both ways they may begin and
+    have their lines brought together, up to `RECORD_BYTES` a record; the text of a longer record
+    stays in pieces. The lines of all other chunks are records without a shuffle.
     """
     lines = store.replace(_lines(spark, path), lines_table(name))
-    inside = F.col("_inside")
-    placed = lines.join(_blocks(lines), _BLOCK).select(
-        "_file",
-        "_block",
-        "_line",
-        "value",
-        F.when(inside, F.col("_begin1")).otherwise(F.col("_begin0")).alias("_begin"),
-        F.when(inside, F.col("_end1")).otherwise(F.col("_end0")).alias("_end"),
-        (F.col("_before") + F.when(inside, F.col("_record1")).otherwise(F.col("_record0"))).alias(
-            "_record"
-        ),
-        "_bytes",
-    ).where("_record > 1")
-    whole = ~F.col("_begin") & ~F.col("_end")
-    pieces = _pieces(placed.where(~whole), store, name)
-    texts = placed.where(whole).select(F.col("value").alias("text"), F.lit(None).cast("long").alias(PART))
-    texts = texts.unionAll(pieces)
+    # Written, as small tables are broadcast to the lines and aggregates are not.
+    chunks = store.replace(_chunks(lines), chunks_table(name))
+    borders = store.replace(_borders(chunks, lines), borders_table(name))
+    quoted = F.col("_changing") | F.col("_inside")
+    header = (F.col("_before") == 0) & (F.col("_line") == F.col("_first"))
+    texts = (
+        lines.join(borders.where(~quoted), _CHUNK)
+        .where(~header)
+        .select(F.col("value").alias("text"), F.lit(None).cast("long").alias(PART))
+    )
+    texts = texts.unionAll(_pieces(_placed(lines.join(borders.where(quoted), _CHUNK)), store, name))
     return texts.select(F.regexp_replace("text", "\r\\z", "").alias("text"), PART).where(
         F.trim("text") != ""
     )
 
 
+def _placed(lines: DataFrame) -> DataFrame:
+    """Lines of chunks with their borders: the state and the record of each, headers excluded."""
+    inside = F.col("_inside")
+    return (
+        _stated(lines)
+        .select(
+            *_CHUNK,
+            "_line",
+            "_start",
+            "value",
+            F.when(inside, F.col("_begin1")).otherwise(F.col("_begin0")).alias("_begin"),
+            F.when(inside, F.col("_end1")).otherwise(F.col("_end0")).alias("_end"),
+            (F.col("_before") + F.when(inside, F.col("_record1")).otherwise(F.col("_record0"))).alias(
+                "_record"
+            ),
+            F.sum(F.octet_length("value") + 1)
+            .over(Window.partitionBy(*_CHUNK).orderBy("_line"))
+            .alias("_bytes"),
+        )
+        .where("_record > 1")
+    )
+
+
 def _together(parts: Column) -> Column:
     """The text of (place, text) parts in order of place."""
     return F.array_join(F.array_sort(F.collect_list(parts))["text"], "\n").alias("text")
 
 
 def _pieces(lines: DataFrame, store: TableStore, name: str) -> DataFrame:
-    """(text, part) of the records that span lines.
+    """(text, part) of the records of these lines.
 
     Lines come together in two steps: those of a record between two multiples of `RECORD_BYTES`
-    of a block, then those pieces, but for records that are too long. Neither step gathers
-    more than that size, whatever the length of a record.
+    of a chunk, which takes no shuffle of its own, then those pieces, but for records that are
+    whole already or too long. Neither step gathers more than that size, whatever the length of
+    a record.
     """
     slot = F.floor(F.col("_bytes") / RECORD_BYTES)
     size = F.octet_length("value") + 1
     line = F.struct(F.col("_line").alias("place"), F.col("value").alias("text"))
-    pieces = lines.groupBy("_file", "_record", "_block", slot.alias("_slot")).agg(
+    # A record's first line begins, and its last one ends, outside a field.
+    ended = F.max(~F.col("_begin")) & F.max(~F.col("_end"))
+    every = lines.groupBy(*_CHUNK, "_record", slot.alias("_slot")).agg(
         _together(line),
-        # Lines begin in their block, so this is before the place of all in the next.
-        (F.col("_block") + F.min(F.col("_bytes") - size)).alias("_place"),
+        # A line has a byte at least, so this is before the place of all in the next block.
+        F.min(F.col("_block") + F.col("_line") - F.col("_start")).alias("_place"),
         F.sum(size).alias("_size"),
+        (ended & ((F.sum(size) <= RECORD_BYTES) | (F.count(F.lit(1)) == 1))).alias("_whole"),
     )
-    pieces = store.replace(pieces.drop("_block", "_slot"), pieces_table(name))
+    every = store.replace(every.drop("_block", "_chunk", "_slot"), pieces_table(name))
+    whole = every.where("_whole").select("text", F.lit(None).cast("long").alias(PART))
+    pieces = every.where("not _whole").drop("_whole")
     sizes = pieces.groupBy("_file", "_record").agg(
         F.sum("_size").alias("_total"), F.min("_place").alias("_first")
     )
@@ -217,9 +293,8 @@ def _pieces(lines: DataFrame, store: TableStore, name: str) -> DataFrame:
         .select("text", F.lit(None).cast("long").alias(PART))
     )
     place = F.when(F.col("_place") == F.col("_first"), 0).otherwise(F.col("_place"))
-    return short.unionAll(
-        marked.where("_first is not null").select("text", place.cast("long").alias(PART))
-    )
+    long = marked.where("_first is not null").select("text", place.cast("long").alias(PART))
+    return whole.unionAll(short).unionAll(long)
 
 
 def read_records(spark: SparkSession, path: str, store: TableStore, name: str) -> DataFrame:
@@ -283,7 +358,7 @@ def ingest(
     )
     every = classified(records, table.strict).unionByName(pieces, allowMissingColumns=True)
     landed = store.replace(every, table.name, [OUTCOME])
-    for scratch in (lines_table, pieces_table, long_table):
+    for scratch in (lines_table, chunks_table, borders_table, pieces_table, long_table):
         store.drop(scratch(table.name))
     loaded = F.count_if(F.col(OUTCOME) == LOADED)
     # A record in pieces counts by its first.

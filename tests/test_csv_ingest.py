@@ -165,3 +165,29 @@ def test_models_run_on_loaded_files(spark, warehouse, tmp_path):
     assert summary["delivered_orders"] == expected["delivered_orders"]
     # a fiftieth of the item records was too long
     assert 0.95 < summary["product_revenue"] / expected["product_revenue"] < 1
+
+
+def test_lines_without_quotes_are_not_shuffled(spark, csv, store):
+    """Only a row per chunk is; the text of plain lines goes from the scan to the table."""
+    path = csv("p.csv", "id,a\n" + "".join(f"{i},x{i}\n" for i in range(500)))
+    plan = csv_ingest.record_texts(spark, path, store, "p")._jdf.queryExecution().executedPlan()
+    plain = plan.toString().split("Union")[1].split("p_pieces")[0]
+    assert "p_lines" in plain and "hashpartitioning" not in plain
+    assert csv_ingest.record_texts(spark, path, store, "p").count() == 500
+
+
+@pytest.mark.parametrize("bits", [0, 2, 5])
+def test_chunks_of_any_size_give_the_same_records(spark, csv, store, monkeypatch, bits):
+    monkeypatch.setattr(csv_ingest, "CHUNK_BITS", bits)
+    expected = [(str(i), f"a\n\n{i}" if i % 3 == 0 else "plain") for i in range(1, 120)]
+    text = "".join(f'{i},"{a}"\n' if "\n" in a else f"{i},{a}\n" for i, a in expected)
+    loaded = ingest(spark, csv("c.csv", "id,a\n" + text), RawTable("c", ("id",)), store)
+    assert rows(loaded.clean) == sorted(expected)
+    assert loaded.quarantine.isEmpty()
+
+
+def test_a_long_line_is_loaded_beside_quoted_ones(spark, csv, store, monkeypatch):
+    monkeypatch.setattr(csv_ingest, "RECORD_BYTES", 50)
+    long = "y" * 300
+    loaded = ingest(spark, csv("l.csv", f'id,a\n1,"p\nq"\n2,{long}\n'), RawTable("l", ("id",)), store)
+    assert rows(loaded.clean) == [("1", "p\nq"), ("2", long)]
