@@ -175,3 +175,10 @@ def test_partitions_follow_the_input(spark, tmp_path):
     assert partition_sizes(1024**4, 200)[shuffle] == "8192"
     huge = partition_sizes(100 * 1024**4, 200)
     assert (huge[shuffle], huge[scan]) == (str(100 * 8192), str(128 * MB))
+
+
+def test_shuffle_partitions_stand_for_little_input():
+    shuffle = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    # Rows of 6 GB of Parquet files would not be sorted in memory by 48 tasks.
+    assert int(partition_sizes(6 * 1024**3, 200)[shuffle]) == 768
+    assert partition_sizes(256 * 1024**3, 200)[shuffle] == "8192"

@@ -104,3 +104,31 @@ def test_concentration_with_ties_against_plain_ranking(spark, sellers, distinct)
         for r in revenue_concentration(items).where("dimension = 'sellers'").collect()
     }
     assert got == tiers(revenue.values())
+
+
+def test_groups_of_few_rows_are_numbered_in_one_shuffle(spark, store):
+    df = spark.range(600).selectExpr("id % 200 as grp", "id * 7 % 600 as first")
+    numbered = number_within(df, "grp", ["first"], "n", store, "few")
+    window = Window.partitionBy("grp").orderBy("first")
+    expected = df.withColumn("n", F.row_number().over(window).cast("long"))
+    assert numbered.exceptAll(expected).isEmpty() and expected.exceptAll(numbered).isEmpty()
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and not store.has("few")
+
+
+def test_items_of_hot_orders_add_up_like_others(spark, store):
+    from souk.operators import facts
+
+    items = spark.range(4000).selectExpr(
+        "if(id % 2 = 0, null, if(id % 4 = 1, 7, id % 300)) as order_id",
+        "id % 11 as seller_id",
+        "cast(id % 13 as decimal(18,2)) as price",
+        "cast(1 as decimal(18,2)) as freight",
+    )
+    hot = store.replace(facts.hot_orders(items), "hot")
+    assert {r.hot_order for r in hot.collect()} == {None}
+    split, whole = facts.items_per_order(items, hot), facts.items_per_order(items)
+    assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
+    plan = facts.items_per_order(items, hot)._jdf.queryExecution().executedPlan().toString()
+    # The lines of other orders, then those of hot ones by seller and by order
+    assert plan.count("hashpartitioning") == 3
