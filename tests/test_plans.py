@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from souk.plans import quality_suite
 from souk.plans.consumer import QUESTIONS
-from souk.plans.warehouse import MODELS, TABLES
+from souk.plans.warehouse import MODELS, TABLES, Warehouse
+from souk.sources.store import TableStore
 
 
 def plan_of(df):
@@ -126,3 +127,11 @@ def test_declared_checks_scan_each_table_once_and_shuffle_once(warehouse):
         path = warehouse.store.path(name)
         # The order fact is a view of the order table.
         assert plan.count(f"{path}]") <= 1, name
+
+
+def test_plans_after_a_build_are_over_the_order_fact(spark, warehouse, tmp_path):
+    built = Warehouse(spark, warehouse.raw, TableStore(spark, str(tmp_path / "built")))
+    built.tables(["order_status_mix", "take_rate"])
+    for name in ("order_status_mix", "take_rate"):
+        assert "order_cells" not in plan_of(built.plan(name))
+        assert built[name].exceptAll(warehouse.plan(name)).isEmpty()
