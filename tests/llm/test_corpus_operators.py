@@ -284,6 +284,52 @@ def test_expansion_against_counting():
         assert suffix_dedup.repeats(texts, starts, 20).tolist() == [times[k] > 1 for k in keys]
 
 
+def test_suffixes_told_apart_are_not_sorted_again(monkeypatch):
+    """Rounds of the suffix sort are over suffixes that are still the same, not over all."""
+    rng = np.random.default_rng(4)
+    texts = [bytes(rng.integers(32, 127, 600).astype(np.uint8)) for _ in range(50)]
+    texts[7] = texts[3][:500]
+    sizes, argsort = [], np.argsort
+
+    def counted(keys, *args, **options):
+        sizes.append(len(keys))
+        return argsort(keys, *args, **options)
+
+    symbols = np.concatenate([np.frombuffer(t + b"\0", np.uint8) for t in texts]).astype(np.uint16)
+    # With no bits to spare, all sorting is by argsort.
+    monkeypatch.setattr(suffix_dedup, "_order_of", lambda keys, bits: np.argsort(keys), raising=False)
+    monkeypatch.setattr(np, "argsort", counted)
+    order = suffix_dedup.suffix_order(symbols, 400)
+    assert sum(sizes) < 1.5 * len(symbols)
+    raw = symbols.astype(np.uint8).tobytes()
+    first = [raw[i : i + 400] for i in order]
+    assert first == sorted(first) and sorted(order) == list(range(len(raw)))
+
+
+def test_order_of_keys_with_and_without_room_for_their_places():
+    rng = np.random.default_rng(8)
+    for bits in (1, 20, 52, 53, 60, 63):
+        keys = rng.integers(0, 1 << bits, 3000, dtype=np.uint64)
+        order = suffix_dedup._order_of(keys, bits)
+        assert (keys[order] == np.sort(keys)).all() and sorted(order) == list(range(len(keys)))
+
+
+def test_expansion_where_symbols_were_last_seen_far_above():
+    """Many texts of one middle and few symbols: large intervals, told by boundaries far above."""
+    rng = random.Random(12)
+    for symbols, number in ((b"ab", 60), (b"abcdefgh", 200), (b"a", 5)):
+        base = bytes(rng.choice(symbols) for _ in range(200))
+        texts = []
+        for _ in range(number):
+            a, b = rng.randint(0, 60), rng.randint(120, 200)
+            ends = [bytes(rng.choice(symbols) for _ in range(rng.randint(0, 30))) for _ in "ab"]
+            texts.append(ends[0] + base[a:b] + ends[1])
+        starts = np.array([len(t) - 49 for t in texts])
+        keys = [t[i : i + 50] for t, n in zip(texts, starts) for i in range(n)]
+        times = Counter(keys)
+        assert suffix_dedup.repeats(texts, starts, 50).tolist() == [times[k] > 1 for k in keys]
+
+
 def test_pipeline_stages(spark, corpus):
     documents = corpus
     for name, stage in corpus_pipeline.STAGES:
