@@ -1,4 +1,6 @@
 import os
+import threading
+import time
 from decimal import Decimal
 
 import pytest
@@ -6,7 +8,16 @@ from pyspark.sql import functions as F
 
 from souk.__main__ import main
 from souk.plans.warehouse import MODELS, Warehouse
-from souk.session import CHECKPOINT_DIR, MB, input_bytes, partition_sizes, rename, shared_folder
+from souk.session import (
+    CHECKPOINT_DIR,
+    DROPS_SHUFFLES,
+    MB,
+    input_bytes,
+    partition_sizes,
+    rename,
+    shared_folder,
+    shuffles_dropped,
+)
 from souk.sources import csv_files
 from souk.sources import store as store_module
 from souk.sources.csv_ingest import LoadedTables
@@ -141,6 +152,58 @@ def test_figures_are_those_of_the_rows(spark, store):
     assert store.figures("t") is None
 
 
+def shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f for f in files if os.path.basename(f).startswith("shuffle_")}
+
+
+def sums(spark):
+    return spark.range(10_000).selectExpr("id % 700 as k", "id as v").groupBy("k").agg(F.sum("v"))
+
+
+@pytest.mark.parametrize(
+    "layout", [Layout(), Layout(partition_by=("part",)), Layout(bucket_by="k", buckets=3)]
+)
+def test_a_write_leaves_no_shuffle_files(spark, store, layout):
+    before = shuffle_files(spark)
+    most = spark.range(900).selectExpr("id % 11 as m").distinct().agg(F.max("m")).scalar()
+    rows = sums(spark).withColumns({"part": F.col("k") % 3, "most": most})
+    figures = {"rows": F.count(F.lit(1))}
+    assert len(store.replace(rows, "t", layout=layout, figures=figures).collect()) == 700
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_only_writes_drop_shuffle_files(spark, store):
+    before = spark.conf.get(DROPS_SHUFFLES, None)
+    with shuffles_dropped(spark):
+        ends, ended = threading.Event(), threading.Event()
+
+        def other():
+            with shuffles_dropped(spark):
+                ends.wait(10)
+            ended.set()
+
+        thread = threading.Thread(target=other)
+        thread.start()
+        store.replace(spark.range(5), "t")
+        assert spark.conf.get(DROPS_SHUFFLES) == "true"
+        ends.set()
+        assert ended.wait(10)
+        assert spark.conf.get(DROPS_SHUFFLES) == "true"
+    assert spark.conf.get(DROPS_SHUFFLES, None) == before
+    with pytest.raises(Exception, match="broken"):
+        store.replace(spark.range(3).selectExpr("raise_error('broken') as id"), "t")
+    assert spark.conf.get(DROPS_SHUFFLES, None) == before
+    # What is read is computed once, however often it is collected.
+    rows, files = sums(spark), shuffle_files(spark)
+    assert len(rows.collect()) == 700
+    assert shuffle_files(spark) - files and len(rows.collect()) == 700
+
+
 def test_written_folders_come_from_the_session(spark):
     folder = shared_folder(spark)
     assert folder == spark.conf.get(CHECKPOINT_DIR)
