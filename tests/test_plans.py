@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from souk.plans import quality_suite
 from souk.plans.consumer import QUESTIONS
-from souk.plans.warehouse import MODELS, TABLES, Warehouse
+from souk.plans.warehouse import BY_ORDER, MODELS, TABLES, Warehouse
 from souk.sources.store import TableStore
 
 
@@ -129,6 +129,38 @@ def test_declared_checks_scan_each_table_once_and_shuffle_once(warehouse):
         assert plan.count(f"{path}]") <= 1, name
 
 
+def test_item_fact_shuffles_lines_before_they_are_wide(spark, warehouse):
+    with without_broadcasts(spark):
+        plan = plan_of(warehouse.plan("fact_order_items"))
+    joins = re.findall(r"SortMergeJoin \[(\w+)#\d+L?\], \[\w+#\d+L?\], Inner", plan)
+    assert joins[:3] == ["order_id", "seller_id", "product_id"]
+
+
+def test_item_fact_is_written_in_steps_that_do_not_stay(spark, warehouse, tmp_path):
+    steps = []
+
+    class Store(TableStore):
+        def replace(self, df, table, *args, **options):
+            if table in ("offered_items", "sold_items", "fact_order_items"):
+                steps.append((table, self.has("offered_items"), plan_of(df).count("Join")))
+            return super().replace(df, table, *args, **options)
+
+    built = Warehouse(spark, warehouse.raw, Store(spark, str(tmp_path / "built")))
+    fact, whole = built["fact_order_items"], built.plan("fact_order_items")
+    assert fact.columns == whole.columns and fact.count() > 0
+    assert fact.exceptAll(whole).isEmpty() and whole.exceptAll(fact).isEmpty()
+    assert [name for name, _, _ in steps] == ["offered_items", "sold_items", "fact_order_items"]
+    assert [there for _, there, _ in steps] == [False, True, False] and steps[-1][2] == 0
+    for name in ("offered_items", "sold_items", "hot_orders", *BY_ORDER):
+        assert not built.store.has(name), name
+
+
+def test_tables_by_order_stay_for_a_plan_over_them(spark, warehouse, tmp_path):
+    built = Warehouse(spark, warehouse.raw, TableStore(spark, str(tmp_path / "built")))
+    plan = built.plan("order_base")
+    assert plan.exceptAll(built["order_base"]).isEmpty()
+
+
 def test_plans_after_a_build_are_over_the_order_fact(spark, warehouse, tmp_path):
     built = Warehouse(spark, warehouse.raw, TableStore(spark, str(tmp_path / "built")))
     built.tables(["order_status_mix", "take_rate"])
