@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from souk.plans import quality_suite
 from souk.plans.consumer import QUESTIONS
-from souk.plans.warehouse import BY_ORDER, MODELS, TABLES, Warehouse
+from souk.plans.warehouse import BY_ORDER, MODELS, OF_ITEMS, SHARED, TABLES, Warehouse
 from souk.sources.store import TableStore
 
 
@@ -161,6 +161,26 @@ def test_tables_by_order_stay_for_a_plan_over_them(spark, warehouse, tmp_path):
     assert plan.exceptAll(built["order_base"]).isEmpty()
 
 
+def test_marts_over_the_item_fact_are_written_one_after_another(spark, warehouse, tmp_path):
+    running, together = set(), []
+
+    class Store(TableStore):
+        def replace(self, df, table, *args, **options):
+            running.add(table)
+            together.append(running & set(OF_ITEMS))
+            try:
+                return super().replace(df, table, *args, **options)
+            finally:
+                running.discard(table)
+
+    over_items = {n for n in TABLES if n not in SHARED and "/fact_order_items" in plan_of(warehouse.plan(n))}
+    assert over_items == set(OF_ITEMS)
+    built = Warehouse(spark, warehouse.raw, Store(spark, str(tmp_path / "built")))
+    built.tables(["order_status_mix", *OF_ITEMS])
+    assert max(map(len, together)) == 1
+    assert all(built.store.has(name) for name in ["order_status_mix", *OF_ITEMS])
+
+
 def test_plans_after_a_build_are_over_the_order_fact(spark, warehouse, tmp_path):
     built = Warehouse(spark, warehouse.raw, TableStore(spark, str(tmp_path / "built")))
     built.tables(["order_status_mix", "take_rate"])
